@@ -6,12 +6,15 @@ unique column, so results repeat. NULL places are spelled out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake import domain
 from matchlake.functions import scalars
 from matchlake.operators import filters
+from matchlake.operators.sets import concat
 
 
 def _table_order() -> list[Column]:
@@ -170,11 +173,9 @@ def key_figures(
         F.coalesce(F.sum("total_matches"), F.lit(0)).alias("total_matches"),
         F.coalesce(F.sum("total_goals"), F.lit(0)).alias("total_goals"),
         F.round(F.avg("avg_goals_per_match"), 2).alias("avg_goals"),
-        F.lit(None).cast("bigint").alias("total_teams"),
     )
     teams = filters.competition(performance, label).agg(F.count(F.lit(1)).alias("total_teams"))
-    both = figures.unionByName(teams, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in figures.columns])
+    return side_by_side(figures, teams)
 
 
 def competition_figures(stats: DataFrame, name: str, year: int | None = None) -> DataFrame:
@@ -244,9 +245,31 @@ def matches_by_year(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy(year.alias("year")).agg(F.count(F.lit(1)).alias("matches")).orderBy("year")
 
 
+def key_profile(df: DataFrame, *key: str, **folded: tuple[Callable[[str], Column], str]) -> DataFrame:
+    """One row about a table and its key, from one shuffle of the key.
+
+    Gives row_count, unique_keys (no part NULL), repeated_values (unique_keys that occur more
+    than once) and repeated_keys (NULL keys too). `folded` adds columns: an aggregate that can be
+    applied twice, such as sum or max, and the column it folds.
+    """
+    extra = [fold(column).alias(name) for name, (fold, column) in folded.items()]
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"), *extra)
+    whole = F.lit(True)
+    for part in key:
+        whole = whole & F.col(part).isNotNull()
+    repeats = F.col("_rows") > 1
+    return per_key.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
+        F.count_if(whole).alias("unique_keys"),
+        F.count_if(whole & repeats).alias("repeated_values"),
+        F.count_if(repeats).alias("repeated_keys"),
+        *[fold(name).alias(name) for name, (fold, _) in folded.items()],
+    )
+
+
 def table_stats(df: DataFrame, *key: str) -> DataFrame:
     """Rows and distinct non-null keys of a table."""
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(*key).alias("unique_keys"))
+    return key_profile(df, *key).select("row_count", "unique_keys")
 
 
 def key_metrics(fact: DataFrame) -> DataFrame:
@@ -256,12 +279,19 @@ def key_metrics(fact: DataFrame) -> DataFrame:
     goals and matches share one pass over the match ids, and the home teams are a second
     scan of one column that shrinks to a row per team.
     """
-    matches = fact.groupBy("match_id").agg(F.sum("total_goals").alias("goals")).agg(
-        F.count("match_id").alias("total_matches"), F.sum("goals").alias("total_goals")
-    )
-    teams = fact.agg(F.count_distinct("home_team_id").alias("unique_teams"))
-    both = matches.unionByName(teams, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in ("total_matches", "unique_teams", "total_goals")])
+    profile = key_profile(fact, "match_id", total_goals=(F.sum, "total_goals"))
+    matches = profile.select(F.col("unique_keys").alias("total_matches"), "total_goals")
+    return side_by_side(matches, home_teams(fact)).select("total_matches", "unique_teams", "total_goals")
+
+
+def home_teams(fact: DataFrame) -> DataFrame:
+    return fact.agg(F.count_distinct("home_team_id").alias("unique_teams"))
+
+
+def side_by_side(*one_row_frames: DataFrame) -> DataFrame:
+    """One-row frames with different columns as one row."""
+    stacked = concat(one_row_frames)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def freshness(fact: DataFrame) -> DataFrame:

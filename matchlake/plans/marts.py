@@ -74,29 +74,42 @@ def _lost() -> Column:
     return F.col("scored") < F.col("conceded")
 
 
-def _tallies() -> list[Column]:
+def _tallies() -> dict[str, Column]:
     """Counts and sums only: every buffer is a long, so both aggregation steps hash."""
-    return [
-        F.count(F.lit(1)).alias("total_matches"),
-        F.count_if(_won()).alias("total_wins"),
-        F.count_if(_drew()).alias("total_draws"),
-        F.count_if(_lost()).alias("total_losses"),
-        F.coalesce(F.sum("scored"), F.lit(0)).alias("total_goals_scored"),
-        F.coalesce(F.sum("conceded"), F.lit(0)).alias("total_goals_conceded"),
-        F.count_if(_won() & F.col("at_home")).alias("home_wins"),
-        F.count_if(_won() & ~F.col("at_home")).alias("away_wins"),
-        F.count_if(F.col("at_home")).alias("home_matches"),
-        F.count_if(~F.col("at_home")).alias("away_matches"),
-    ]
+    return {
+        "total_matches": F.count(F.lit(1)),
+        "total_wins": F.count_if(_won()),
+        "total_draws": F.count_if(_drew()),
+        "total_losses": F.count_if(_lost()),
+        "total_goals_scored": F.coalesce(F.sum("scored"), F.lit(0)),
+        "total_goals_conceded": F.coalesce(F.sum("conceded"), F.lit(0)),
+        "home_wins": F.count_if(_won() & F.col("at_home")),
+        "away_wins": F.count_if(_won() & ~F.col("at_home")),
+        "home_matches": F.count_if(F.col("at_home")),
+        "away_matches": F.count_if(~F.col("at_home")),
+    }
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [c.alias(n) for n, c in columns.items()]
 
 
 def _points() -> Column:
     return F.col("total_wins") * domain.POINTS_WIN + F.col("total_draws") * domain.POINTS_DRAW
 
 
-def agg_team_performance(fact: DataFrame) -> DataFrame:
-    """One row per competition and team over all seasons; one shuffle of per-team partial sums."""
-    tallies = team_sides(fact).groupBy("competition_code", "team_name").agg(*_tallies())
+def team_tallies(fact: DataFrame) -> DataFrame:
+    """One row per competition, team id and spelling of its name, with the time it was last used.
+
+    Both team tables fold these rows, so a job that builds both scans the fact once. The
+    name is a grouping key, which keeps strings out of the large aggregate's buffers.
+    """
+    sides = team_sides(fact).withColumn("_recency", staging.recency(F.col("match_date"), F.col("match_id")))
+    keys = ("competition_code", "team_id", "team_name")
+    return sides.groupBy(*keys).agg(*_named(_tallies()), F.max("_recency").alias("recency"))
+
+
+def _performance(tallies: DataFrame) -> DataFrame:
     scored = tallies.withColumns({
         "goal_difference": F.col("total_goals_scored") - F.col("total_goals_conceded"),
         "total_points": _points(),
@@ -109,6 +122,17 @@ def agg_team_performance(fact: DataFrame) -> DataFrame:
     )
 
 
+def agg_team_performance(fact: DataFrame) -> DataFrame:
+    """One row per competition and team over all seasons; one shuffle of per-team partial sums."""
+    return _performance(team_sides(fact).groupBy("competition_code", "team_name").agg(*_named(_tallies())))
+
+
+def performance_from_tallies(tallies: DataFrame) -> DataFrame:
+    """agg_team_performance from team_tallies."""
+    sums = [F.sum(c).alias(c) for c in _tallies()]
+    return _performance(tallies.groupBy("competition_code", "team_name").agg(*sums))
+
+
 def _outcome_share(outcome: str) -> Column:
     return scalars.percentage(F.count_if(F.col("match_outcome") == outcome), F.count(F.lit(1)))
 
@@ -130,21 +154,11 @@ def agg_competition_stats(fact: DataFrame) -> DataFrame:
     )
 
 
-def mart_team_stats(fact: DataFrame) -> DataFrame:
-    """One row per team and league, under the team's latest name there.
-
-    Grouping by name as well keeps strings out of the large aggregate's buffers; the second
-    step folds the few spellings of a team together.
-    """
-    keyed = team_sides(fact).withColumn("recency", staging.recency(F.col("match_date"), F.col("match_id")))
-    spellings = keyed.groupBy("team_id", "competition_code", "team_name").agg(
-        F.count(F.lit(1)).alias("m"), F.count_if(_won()).alias("w"), F.count_if(_drew()).alias("d"),
-        F.count_if(_lost()).alias("l"), F.max("recency").alias("recency"),
-    )
-    teams = spellings.groupBy("team_id", F.col("competition_code").alias("league_code")).agg(
-        F.max_by("team_name", "recency").alias("team_name"),
-        F.sum("m").alias("total_matches"), F.sum("w").alias("total_wins"),
-        F.sum("d").alias("total_draws"), F.sum("l").alias("total_losses"),
+def mart_team_stats(tallies: DataFrame) -> DataFrame:
+    """One row per team and league from team_tallies, under the team's latest name there."""
+    sums = [F.sum(c).alias(c) for c in ("total_matches", "total_wins", "total_draws", "total_losses")]
+    teams = tallies.groupBy("team_id", F.col("competition_code").alias("league_code")).agg(
+        F.max_by("team_name", "recency").alias("team_name"), *sums
     )
     return teams.select(
         "team_id", "team_name", "league_code", "total_matches", "total_wins", "total_draws", "total_losses",
@@ -166,11 +180,11 @@ def mart_league_standings(performance: DataFrame) -> DataFrame:
     )
 
 
-def mart_match_overview(fact: DataFrame) -> DataFrame:
-    matches = F.count(F.lit(1))
-    return filters.finished(fact).groupBy(F.col("competition_code").alias("league_code")).agg(
-        matches.alias("total_matches"),
-        scalars.ratio(F.coalesce(F.sum("total_goals"), F.lit(0)), matches).alias("avg_goals_per_match"),
+def mart_match_overview(stats: DataFrame) -> DataFrame:
+    """One row per league, folded from agg_competition_stats rather than from the matches."""
+    matches, goals = F.sum("total_matches"), F.sum("total_goals")
+    return stats.groupBy(F.col("competition_code").alias("league_code")).agg(
+        matches.alias("total_matches"), scalars.ratio(goals, matches).alias("avg_goals_per_match")
     )
 
 

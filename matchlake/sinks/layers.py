@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -42,10 +43,16 @@ class Layers:
             place = f" LOCATION '{self.root}/{layer}'" if self.root else ""
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(self.database(layer))}{place}")
 
-    def replace(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        """Write the whole table anew; `partition_by` columns are rebalanced so hot values are split."""
+    def replace(
+        self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = (), clustered: bool = False
+    ) -> DataFrame:
+        """Write the whole table anew.
+
+        With `partition_by` the rows are rebalanced on those columns, where AQE splits hot
+        values. `clustered=True` says the input is read in that order anyway and saves the shuffle.
+        """
         self.ensure(layer)
-        if partition_by:
+        if partition_by and not clustered:
             df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         writer = df.write.format("parquet").mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(self.name(layer, table))
@@ -95,6 +102,12 @@ class Layers:
         ])
 
 
+def together(*steps: Callable[[], object], threads: int = 4) -> list:
+    """Run independent table builds at once, so one's last tasks do not idle the cluster."""
+    with ThreadPoolExecutor(threads) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 def load_seasons(
     layers: Layers, read_season: Callable[[int], DataFrame], seasons: Iterable[int], table: str = "matches"
 ) -> DataFrame:

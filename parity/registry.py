@@ -368,8 +368,8 @@ register(
     fact_matches=lambda spark, sf: stamped_fact(spark, sf),
     agg_competition_stats=stats,
     agg_team_performance=performance,
-    mart_team_stats=lambda spark, sf: marts.mart_team_stats(played(spark, sf)),
-    mart_match_overview=lambda spark, sf: marts.mart_match_overview(played(spark, sf)),
+    mart_team_stats=lambda spark, sf: marts.mart_team_stats(marts.team_tallies(played(spark, sf))),
+    mart_match_overview=lambda spark, sf: marts.mart_match_overview(stats(spark, sf)),
     mart_league_standings=lambda spark, sf: marts.mart_league_standings(performance(spark, sf)),
     mart_team_form=lambda spark, sf: marts.mart_team_form(played(spark, sf)),
     join_anti_team=lambda spark, sf: joins.orphans(fact(spark, sf), partial_teams(spark, sf)).select(
@@ -405,7 +405,7 @@ register(
     srt_league_table=lambda spark, sf: reports.league_table(performance(spark, sf), CODE),
     top_recent_matches=lambda spark, sf: reports.recent_matches(fact(spark, sf)),
     top_first_last_matches=lambda spark, sf: reports.first_and_last(bronze(spark, sf)),
-    top_team_points5=lambda spark, sf: reports.top_teams(marts.mart_team_stats(played(spark, sf))),
+    top_team_points5=lambda spark, sf: reports.top_teams(marts.mart_team_stats(marts.team_tallies(played(spark, sf)))),
     top_points=lambda spark, sf: reports.most_points(performance(spark, sf), CODE),
     top_goals=lambda spark, sf: reports.most_goals(performance(spark, sf), CODE),
     top_defense=lambda spark, sf: reports.best_defense(performance(spark, sf), CODE),
