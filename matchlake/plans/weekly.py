@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from matchlake import domain
 from matchlake.functions import shape
-from matchlake.operators import filters
+from matchlake.operators import filters, joins
 from matchlake.plans import marts, quality, staging
 from matchlake.sinks import landing as landing_sink
 from matchlake.sinks.layers import Layers, load_seasons, together
@@ -47,6 +47,26 @@ def land(
     competitions.write.mode("overwrite").parquet(f"{landing_path}/{COMPETITIONS}")
 
 
+def load_unflattened(
+    layers: Layers, raw_matches: str, raw_competitions: str, seasons: Sequence[int],
+    schema: T.StructType = landing.MATCH_ENVELOPE, multi_line: bool = False,
+) -> DataFrame:
+    """Payload records as they are, nested fields as JSON text, straight into raw bronze tables.
+
+    Matches are bounded by the competitions that landed and carry that competition's id; the
+    season asked for replaces the record's own season.
+    """
+    spark = layers.spark
+    competitions = landing.raw_competitions(spark, raw_competitions, multi_line=multi_line, sep=None)
+    stored = layers.replace(shape.encode_complex(competitions), "bronze", "raw_competitions")
+    rows = landing.raw_matches(spark, raw_matches, schema, multi_line, sep=None)
+    wanted = rows.where(F.col("season_year").isin(*seasons))
+    ids = stored.select(F.col("code").alias("competition_code"), F.col("id").alias("competition_id")).distinct()
+    bounded = joins.lookup(wanted, ids, "competition_code").where(F.col("competition_id").isNotNull())
+    tagged = shape.tag(bounded, season=F.col("season_year")).drop("season_year", "competition_code")
+    return layers.replace(shape.encode_complex(tagged), "bronze", "raw_matches")
+
+
 def season_folder(season: int) -> str:
     return f"{MATCHES}/season_year={season}"
 

@@ -9,8 +9,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "matchlake", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs assume; `conf` adds or overrides."""
+# what one shuffle task should read: fits in execution memory without spilling
+SHUFFLE_TASK_BYTES = 128 * 1024**2
+
+
+def build_session(
+    app_name: str = "matchlake", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings the jobs assume; `conf` adds or overrides.
+
+    `shuffle_bytes` is the largest shuffle to expect (for the key checks, about 24 bytes per
+    match). It sets the number of shuffle partitions; AQE merges them where a shuffle is smaller,
+    but cannot add any.
+    """
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -19,6 +30,9 @@ def build_session(app_name: str = "matchlake", master: str | None = None, **conf
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         **conf,
     }
+    if shuffle_bytes is not None:
+        partitions = max(200, -(-shuffle_bytes // SHUFFLE_TASK_BYTES))
+        settings.setdefault("spark.sql.shuffle.partitions", str(partitions))
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

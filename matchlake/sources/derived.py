@@ -24,11 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _case(key: Column, choices: dict) -> Column:
-    result = None
-    for value, outcome in choices.items():
-        result = F.when(key == value, outcome) if result is None else result.when(key == value, outcome)
-    return result
+def _case(key: str, choices: dict) -> Column:
+    branches = " ".join(f"WHEN {value!r} THEN {outcome!r}" for value, outcome in choices.items())
+    return F.expr(f"CASE {key} {branches} END")
 
 
 def staged(orders: DataFrame, finished_only: bool = False) -> DataFrame:
@@ -38,25 +36,29 @@ def staged(orders: DataFrame, finished_only: bool = False) -> DataFrame:
     reach the parquet scan.
     """
     if finished_only:
-        orders = orders.where(F.col("o_orderstatus") == "F")
-    league, slot = F.col("o_custkey") % 3, F.col("o_custkey") % 20
-    home_id, away_id = league * 20 + slot, league * 20 + (slot + 1 + F.col("o_orderkey") % 19) % 20
-    played, price = F.col("o_orderstatus") == "F", F.floor("o_totalprice")
-    home, away = F.when(played, price % 5), F.when(played, price % 7 % 4)
-    return orders.select(
-        F.col("o_orderkey").alias("match_id"),
-        F.col("o_orderdate").alias("match_datetime"),
-        _case(F.col("o_orderstatus"), _STATUS).alias("status"),
-        _case(league, {i: code for i, (code, _) in enumerate(_LEAGUES)}).alias("league_code"),
-        _case(league, {i: name for i, (_, name) in enumerate(_LEAGUES)}).alias("competition_name"),
-        home_id.alias("home_team_id"),
-        F.concat(F.lit("Team "), home_id.cast("string")).alias("home_team_name"),
-        away_id.alias("away_team_id"),
-        F.concat(F.lit("Team "), away_id.cast("string")).alias("away_team_name"),
-        home.alias("full_time_home_score"),
-        away.alias("full_time_away_score"),
-        F.floor(home / 2).alias("half_time_home_score"),
-        F.floor(away / 2).alias("half_time_away_score"),
+        orders = orders.where("o_orderstatus = 'F'")
+    ids = orders.selectExpr(
+        "o_orderkey", "o_orderdate", "o_orderstatus", "o_custkey % 3 AS league",
+        "o_custkey % 3 * 20 + o_custkey % 20 AS home_id",
+        "o_custkey % 3 * 20 + (o_custkey % 20 + 1 + o_orderkey % 19) % 20 AS away_id",
+        "IF(o_orderstatus = 'F', floor(o_totalprice) % 5, NULL) AS home",
+        "IF(o_orderstatus = 'F', floor(o_totalprice) % 7 % 4, NULL) AS away",
+    )
+    home, away = F.col("home"), F.col("away")
+    return ids.select(
+        F.expr("o_orderkey AS match_id"),
+        F.expr("o_orderdate AS match_datetime"),
+        _case("o_orderstatus", _STATUS).alias("status"),
+        _case("league", {i: code for i, (code, _) in enumerate(_LEAGUES)}).alias("league_code"),
+        _case("league", {i: name for i, (_, name) in enumerate(_LEAGUES)}).alias("competition_name"),
+        F.expr("home_id AS home_team_id"),
+        F.expr("'Team ' || home_id AS home_team_name"),
+        F.expr("away_id AS away_team_id"),
+        F.expr("'Team ' || away_id AS away_team_name"),
+        F.expr("home AS full_time_home_score"),
+        F.expr("away AS full_time_away_score"),
+        F.expr("floor(home / 2) AS half_time_home_score"),
+        F.expr("floor(away / 2) AS half_time_away_score"),
         scalars.winner_code(home, away).alias("winner"),
         scalars.match_result(home, away).alias("match_result"),
     )
@@ -134,8 +136,8 @@ def competitions(orders: DataFrame) -> DataFrame:
     found = orders.select(league).distinct()
     return found.select(
         (F.col("league") + 2000).alias("id"),
-        _case(F.col("league"), {i: code for i, (code, _) in enumerate(_LEAGUES)}).alias("code"),
-        _case(F.col("league"), {i: name for i, (_, name) in enumerate(_LEAGUES)}).alias("name"),
+        _case("league", {i: code for i, (code, _) in enumerate(_LEAGUES)}).alias("code"),
+        _case("league", {i: name for i, (_, name) in enumerate(_LEAGUES)}).alias("name"),
     )
 
 

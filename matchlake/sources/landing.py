@@ -8,7 +8,7 @@ files splittable; pretty-printed files need `multi_line=True` and are read one f
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,9 +101,16 @@ def envelope_defects(envelopes: DataFrame, records: str = "matches") -> DataFram
 
 def _records(envelopes: DataFrame, records: str, tags: Sequence[str]) -> DataFrame:
     exploded = envelopes.select(*tags, F.explode(f"data.{records}").alias("_record"))
-    # a folder tag replaces a record field of that name
-    keep = [f.name for f in exploded.schema["_record"].dataType.fields if f.name not in tags]
-    return exploded.select(*[F.col(shape.quoted("_record", n)) for n in keep], *tags)
+    fields = exploded.schema["_record"].dataType.fieldNames()
+    return exploded.select(*[F.col(shape.quoted("_record", n)) for n in fields], *tags)
+
+
+def _explode_tagged(envelopes: DataFrame, records: str, tags: Mapping[str, Column | object], sep: str | None) -> DataFrame:
+    """One row per record with its document's tags, which replace record fields of their name."""
+    held = {f"_tag_{name}": value if isinstance(value, Column) else F.lit(value) for name, value in tags.items()}
+    rows = _records(envelopes.withColumns(held), records, list(held))
+    flat = rows if sep is None else shape.flatten(rows, sep)
+    return shape.tag(flat, **{name: F.col(f"_tag_{name}") for name in tags}).drop(*held)
 
 
 def raw_matches(
@@ -117,16 +124,34 @@ def raw_matches(
 ) -> DataFrame:
     """One row per landed match, flattened with `sep` and tagged.
 
-    Tags are the folder columns, or the constants passed as keywords for a folder of one
+    Tags are the folder columns, and the constants passed as keywords for a folder of one
     league and season. `sep=None` keeps the nested fields.
     """
     envelopes = read_envelopes(spark, paths, schema, multi_line, base_path)
-    folders = [c for c in envelopes.columns if c not in schema.fieldNames() and c != CORRUPT]
-    envelopes = envelopes.withColumnsRenamed({c: f"_tag_{c}" for c in folders})
-    rows = _records(envelopes, "matches", [f"_tag_{c}" for c in folders])
-    found: dict[str, Column | object] = {c: F.col(f"_tag_{c}") for c in folders}
-    flat = rows if sep is None else shape.flatten(rows, sep)
-    return shape.tag(flat, **{**found, **tags}).drop(*[f"_tag_{c}" for c in folders])
+    folders = {c: F.col(c) for c in envelopes.columns if c not in schema.fieldNames() and c != CORRUPT}
+    return _explode_tagged(envelopes, "matches", {**folders, **tags}, sep)
+
+
+# matches_<code>_<season>.json
+_FILE_NAME = r"^matches_(.+)_(\d+)\.json$"
+
+
+def raw_matches_by_file_name(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType = MATCH_ENVELOPE,
+    multi_line: bool = True,
+    sep: str | None = "_",
+) -> DataFrame:
+    """As raw_matches for a flat folder of `matches_<code>_<season>.json` files; other files are left out."""
+    reader = spark.read.option("pathGlobFilter", "matches_*.json").option("multiLine", multi_line)
+    envelopes = reader.schema(schema).json(folder).withColumn("_file", F.col("_metadata.file_name"))
+    named = envelopes.where(F.col("_file").rlike(_FILE_NAME))
+    tags = {
+        "competition_code": F.regexp_extract("_file", _FILE_NAME, 1),
+        "season_year": F.regexp_extract("_file", _FILE_NAME, 2).cast("int"),
+    }
+    return _explode_tagged(named, "matches", tags, sep)
 
 
 def raw_competitions(
@@ -134,9 +159,9 @@ def raw_competitions(
     paths: str | Sequence[str],
     schema: T.StructType = COMPETITION_ENVELOPE,
     multi_line: bool = False,
-    sep: str = ".",
+    sep: str | None = ".",
 ) -> DataFrame:
-    return shape.flatten(_records(read_envelopes(spark, paths, schema, multi_line), "competitions", ()), sep)
+    return _explode_tagged(read_envelopes(spark, paths, schema, multi_line), "competitions", {}, sep)
 
 
 def competition_ids(competitions: DataFrame) -> DataFrame:

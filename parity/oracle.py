@@ -212,6 +212,12 @@ add(
       COUNT(*) AS record_count, COUNT(*) AS matches, MIN(id) AS first_id, MAX(id) AS last_id
       FROM bronze GROUP BY competition_code, season_year, id // 1000""",
     snk_parquet_by_season="SELECT id, \"utcDate\", status, competition_code, season_year FROM bronze",
+    load_unflattened=f"""SELECT match_id AS id, {UTC} AS "utcDate", status,
+      '{{"id":' || home_team_id || ',"name":"' || home_team_name || '"}}' AS "homeTeam",
+      '{{"id":' || away_team_id || ',"name":"' || away_team_name || '"}}' AS "awayTeam", {SCORE} AS score,
+      CAST(match_year AS INTEGER) AS season,
+      CAST(CASE competition_code WHEN 'PL' THEN 2000 ELSE 2001 END AS BIGINT) AS competition_id
+      FROM fact WHERE competition_code <> 'PD'""",
     snk_replace="SELECT id, status, season_year FROM bronze",
     snk_append="""SELECT id, status, season_year FROM bronze
       UNION ALL SELECT id, CAST(NULL AS VARCHAR), season_year FROM bronze""",

@@ -255,6 +255,17 @@ def snk_model_table(spark: SparkSession, sf: str) -> DataFrame:
     return layers.replace(marts.fact_matches(matches, names, stamp), "gold", "fact_matches", ("match_year",))
 
 
+@query
+def load_unflattened(spark: SparkSession, sf: str) -> DataFrame:
+    """The unflattened load over the leagues of a narrower competition list."""
+    path = new_scratch(spark, "two-competitions")
+    found = derived.competitions(orders(spark, sf)).where(F.col("code") != "PD")
+    payloads = found.select(F.struct(F.array(F.struct("id", "code", "name")).alias("competitions")).alias("payload"))
+    landing_sink.write_envelopes(payloads, path, (), F.lit(RUN_TS))
+    layers = fresh_layers(spark, "unflattened")
+    return weekly.load_unflattened(layers, raw_match_folder(spark, sf), path, SEASONS)
+
+
 # -- projections ----------------------------------------------------------------------------
 
 def _listed(df: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import pytest
 
 from matchlake.functions import shape
+from matchlake.operators import filters
 from matchlake.plans import quality
 from matchlake.sinks import landing as sink
 from matchlake.sources import landing
@@ -125,3 +126,22 @@ def test_json_text_columns(spark, put_json):
     path = put_json("x.json", envelope(payload_match(1)))
     df = landing.raw_matches(spark, path, landing.discover_schema(spark, path))
     assert shape.encode_complex(df).first()["referees"] == '[{"id":9,"name":null}]'
+
+
+def test_flat_folder_takes_tags_from_file_names(spark, put_json, tmp_path):
+    put_json("f/matches_PL_2023.json", envelope(payload_match(1)), indent=2)
+    put_json("f/matches_FL1_2024.json", envelope(payload_match(2), payload_match(3)), indent=2)
+    put_json("f/competitions.json", {"data": {"competitions": []}})
+    got = landing.raw_matches_by_file_name(spark, str(tmp_path / "f")).collect()
+    assert sorted((r["id"], r["competition_code"], r["season_year"]) for r in got) == [
+        (1, "PL", 2023), (2, "FL1", 2024), (3, "FL1", 2024)
+    ]
+
+
+def test_scope_prunes_landing_folders(spark, put_json, tmp_path):
+    for code in ("PL", "PD"):
+        put_json(f"raw/competition_code={code}/season_year=2023/a.json", envelope(payload_match(1)))
+    df = filters.scope(landing.raw_matches(spark, str(tmp_path / "raw")), ("PL",), (2023,))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [competition_code" in plan or "PartitionFilters: [isnotnull(competition_code" in plan
+    assert df.count() == 1

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 
+from matchlake.functions import shape
 from matchlake.plans import quality, weekly
 from matchlake.sinks.layers import Layers, load_seasons
 from matchlake.sources import catalog
@@ -23,6 +24,15 @@ def test_replace_and_append(spark, layers, rows):
     assert rows(layers.append(more, "bronze", "m")) == [(2, "b", None), (3, None, "x")]
 
 
+def test_typed_json_is_stored(spark, layers, rows):
+    texts = spark.createDataFrame([(1, '{"k": 2}'), (2, None)], "id int, props string").coalesce(1)
+    for _ in range(2):
+        table = layers.append(shape.promote_json(texts, ["props"]), "bronze", "m")
+    assert dict(table.dtypes)["props"] == "variant"
+    got = table.selectExpr("id", "try_variant_get(props, '$.k', 'int') AS k")
+    assert rows(got) == [(1, 2), (1, 2), (2, None), (2, None)]
+
+
 @pytest.mark.parametrize("mode", ["static", "dynamic"])
 def test_season_swap_is_idempotent_in_any_overwrite_mode(spark, layers, rows, mode):
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
