@@ -9,88 +9,90 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake import domain
-from matchlake.functions import scalars
-from matchlake.operators import filters, joins, reports
+from matchlake.functions.shape import quoted
+from matchlake.operators import joins, reports
+from matchlake.sinks.layers import together
 
 ERROR, WARN = "error", "warn"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A check that counts the rows for which `fails` is true."""
+    """A check that counts the rows for which the SQL condition `fails` is true."""
 
     check: str
     column: str
-    fails: Column
+    fails: str
     severity: str = ERROR
 
 
 # -- row rules ------------------------------------------------------------------------------
 
+def _text(value: object) -> str:
+    """SQL literal of a string."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def not_null(*columns: str) -> list[Rule]:
-    return [Rule("not_null", c, F.col(f"`{c}`").isNull()) for c in columns]
+    return [Rule("not_null", c, f"{quoted(c)} IS NULL") for c in columns]
 
 
 def accepted_values(column: str, values: Sequence[str]) -> Rule:
     """NULL passes, as `NOT IN` on NULL is not true."""
-    return Rule("accepted_values", column, ~F.col(f"`{column}`").isin(*values))
+    return Rule("accepted_values", column, f"{quoted(column)} NOT IN ({', '.join(map(_text, values))})")
 
 
 def valid_scores() -> Rule:
-    return Rule("valid_scores", "fulltime_score", (F.col("fulltime_home_score") < 0) | (F.col("fulltime_away_score") < 0))
+    return Rule("valid_scores", "fulltime_score", "fulltime_home_score < 0 OR fulltime_away_score < 0")
 
 
 def halftime_within_fulltime() -> Rule:
-    home = F.col("halftime_home_score") > F.col("fulltime_home_score")
-    away = F.col("halftime_away_score") > F.col("fulltime_away_score")
-    return Rule("halftime_within_fulltime", "halftime_score", home | away)
+    home, away = "halftime_home_score > fulltime_home_score", "halftime_away_score > fulltime_away_score"
+    return Rule("halftime_within_fulltime", "halftime_score", f"{home} OR {away}")
 
 
 def reasonable_dates(
     as_of: dt.date | None = None, min_date: str = domain.MIN_MATCH_DATE, max_days_ahead: int = domain.MAX_DAYS_AHEAD
 ) -> Rule:
-    today = F.current_date() if as_of is None else F.lit(as_of)
-    fails = scalars.date_too_early_or_late(F.col("match_date"), today, F.lit(min_date).cast("date"), max_days_ahead)
-    return Rule("reasonable_dates", "match_date", fails)
+    """Matches more than `max_days_ahead` days after `as_of` (today if None), or before `min_date`."""
+    today = "current_date()" if as_of is None else f"DATE '{as_of.isoformat()}'"
+    late = f"match_date > CAST({today} + INTERVAL {int(max_days_ahead)} DAYS AS TIMESTAMP_NTZ)"
+    return Rule("reasonable_dates", "match_date", f"{late} OR match_date < TIMESTAMP_NTZ '{min_date}'")
 
 
 def all_null_rows(df: DataFrame) -> Rule:
-    return Rule("all_null_row", "*", filters.all_null(df), WARN)
+    return Rule("all_null_row", "*", " AND ".join(f"{quoted(c)} IS NULL" for c in df.columns), WARN)
 
 
 def row_checks(df: DataFrame, table: str, rules: Iterable[Rule], nonempty: bool = False) -> DataFrame:
     """All row rules of one table in one aggregate; `nonempty` adds a check that it has rows."""
-    rules = list(rules)
-    counts = [F.count_if(r.fails).alias(f"f{i}") for i, r in enumerate(rules)]
-    labels = [(r.check, r.column, r.severity) for r in rules]
+    counted = [(r.check, r.column, r.severity, f"count_if({r.fails})") for r in rules]
     if nonempty:
-        labels.append(("nonempty", "*", WARN))
-        counts.append((F.count(F.lit(1)) == 0).cast("bigint").alias(f"f{len(rules)}"))
-    rows = [
-        F.struct(
-            F.lit(check).alias("check"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-            F.col(f"f{i}").alias("failed_rows"), F.lit(severity).alias("severity"),
-        )
-        for i, (check, column, severity) in enumerate(labels)
-    ]
-    return df.agg(*counts).select(F.inline(F.array(*rows)))
+        counted.append(("nonempty", "*", WARN, "CAST(count(1) = 0 AS bigint)"))
+    counts = df.agg(*[F.expr(f"{count} AS f{i}") for i, (*_, count) in enumerate(counted)])
+    rows = ", ".join(
+        f"named_struct('check', {_text(check)}, 'table_name', {_text(table)}, 'column_name', {_text(column)}, "
+        f"'failed_rows', f{i}, 'severity', {_text(severity)})"
+        for i, (check, column, severity, _) in enumerate(counted)
+    )
+    return counts.selectExpr(f"inline(array({rows}))")
 
 
 # -- key rules ------------------------------------------------------------------------------
 
 def _result(count: DataFrame, check: str, table: str, column: str, severity: str = ERROR) -> DataFrame:
     """Report row for a one-row frame of one count."""
-    return count.select(
-        F.lit(check).alias("check"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-        F.col(f"`{count.columns[0]}`").cast("bigint").alias("failed_rows"), F.lit(severity).alias("severity"),
+    return count.selectExpr(
+        f"{_text(check)} AS check", f"{_text(table)} AS table_name", f"{_text(column)} AS column_name",
+        f"CAST({quoted(count.columns[0])} AS bigint) AS failed_rows", f"{_text(severity)} AS severity",
     )
 
 
@@ -158,9 +160,10 @@ def landing_status(
     """`(dataset, status, row_count)` with status OK, EMPTY, MISSING or CORRUPTED for each required dataset.
 
     By default every page is decoded, so damage inside a file shows too. `footers_only` trusts
-    the row counts in the footers and reads nothing else.
+    the row counts in the footers and reads nothing else. Datasets are read side by side.
     """
-    found = [(name, *_dataset_status(spark, f"{root}/{name}", footers_only)) for name in datasets]
+    checks = [partial(_dataset_status, spark, f"{root}/{name}", footers_only) for name in datasets]
+    found = [(name, *status) for name, status in zip(datasets, together(*checks))]
     return spark.createDataFrame(found, "dataset string, status string, row_count bigint")
 
 
@@ -205,7 +208,7 @@ def contract_report(
     mart_team_stats and mart_league_standings to their DataFrames.
     """
     t = tables
-    dropped = ~F.col("status").isin(*domain.STAGED_STATUSES)
+    dropped = accepted_values("status", domain.STAGED_STATUSES).fails
     parts = [
         row_checks(t["matches"], "matches", [*bronze_rules(), Rule("status_not_staged", "status", dropped, WARN)], True),
         unique(t["matches"], "matches", "id"),
@@ -234,16 +237,14 @@ def contract_report(
     return reduce(DataFrame.unionAll, parts)
 
 
-def _entries(df: DataFrame, *rows: tuple[str, Column, Column, Column]) -> DataFrame:
-    """`(section, item, measure, value)` rows for each row of `df`."""
-    structs = [
-        F.struct(
-            F.lit(section).alias("section"), item.alias("item"), measure.alias("measure"),
-            value.cast("string").alias("value"),
-        )
+def _entries(df: DataFrame, *rows: tuple[str, str, str, str]) -> DataFrame:
+    """`(section, item, measure, value)` rows for each row of `df`; all but the section are SQL."""
+    structs = ", ".join(
+        f"named_struct('section', {_text(section)}, 'item', {item}, 'measure', {measure}, "
+        f"'value', CAST({value} AS string))"
         for section, item, measure, value in rows
-    ]
-    return df.select(F.inline(F.array(*structs)))
+    )
+    return df.selectExpr(f"inline(array({structs}))")
 
 
 def fact_report(fact: DataFrame) -> DataFrame:
@@ -256,17 +257,17 @@ def fact_report(fact: DataFrame) -> DataFrame:
         fact, "match_id", total_goals=(F.sum, "total_goals"), last_load=(F.max, "loaded_at")
     )
     figures = reports.side_by_side(profile, reports.home_teams(fact))
-    name, key = F.lit("fact_matches"), F.lit("fact_matches.match_id")
+    name = _text("fact_matches")
     return _entries(
         figures,
-        ("table", name, F.lit("row_count"), F.col("row_count")),
-        ("table", name, F.lit("unique_keys"), F.col("unique_keys")),
-        ("table", name, F.lit("status"), F.when(F.col("row_count") == 0, "EMPTY").otherwise("OK")),
-        ("metric", name, F.lit("total_matches"), F.col("unique_keys")),
-        ("metric", name, F.lit("unique_teams"), F.col("unique_teams")),
-        ("metric", name, F.lit("total_goals"), F.col("total_goals")),
-        ("freshness", name, F.lit("last_load"), scalars.iso_text(F.col("last_load"))),
-        ("test", key, F.lit(f"{ERROR}:no_duplicates"), F.col("repeated_keys")),
+        ("table", name, "'row_count'", "row_count"),
+        ("table", name, "'unique_keys'", "unique_keys"),
+        ("table", name, "'status'", "IF(row_count = 0, 'EMPTY', 'OK')"),
+        ("metric", name, "'total_matches'", "unique_keys"),
+        ("metric", name, "'unique_teams'", "unique_teams"),
+        ("metric", name, "'total_goals'", "total_goals"),
+        ("freshness", name, "'last_load'", "date_format(last_load, \"yyyy-MM-dd'T'HH:mm:ss\")"),
+        ("test", "'fact_matches.match_id'", f"'{ERROR}:no_duplicates'", "repeated_keys"),
     )
 
 
@@ -275,14 +276,12 @@ def run_report(landing: DataFrame, health: DataFrame, fact: DataFrame, contracts
 
     `health` covers the gold tables other than the fact.
     """
-    table = F.col("table_name")
     parts = [
-        _entries(landing, ("landing", F.col("dataset"), F.col("status"), F.col("row_count"))),
-        _entries(health, *[("table", table, F.lit(m), F.col(m)) for m in ("row_count", "unique_keys", "status")]),
+        _entries(landing, ("landing", "dataset", "status", "row_count")),
+        _entries(health, *[("table", "table_name", f"'{m}'", m) for m in ("row_count", "unique_keys", "status")]),
         fact_report(fact),
         _entries(contracts, (
-            "test", F.concat_ws(".", "table_name", "column_name"), F.concat_ws(":", "severity", "check"),
-            F.col("failed_rows"),
+            "test", "concat_ws('.', table_name, column_name)", "concat_ws(':', severity, check)", "failed_rows",
         )),
     ]
     return reduce(DataFrame.unionAll, parts)
