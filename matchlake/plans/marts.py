@@ -42,8 +42,11 @@ def dim_teams(teams: DataFrame) -> DataFrame:
     return teams.select("team_id", "team_name")
 
 
-def team_sides(fact: DataFrame) -> DataFrame:
-    """Two rows per finished match, one from each team's view, from a single scan."""
+def team_sides(fact: DataFrame, *carried: str) -> DataFrame:
+    """Two rows per finished match, one from each team's view, from a single scan.
+
+    `carried` names more columns of the match to keep on both.
+    """
     goals_home, goals_away = F.col("fulltime_home_score"), F.col("fulltime_away_score")
     played = filters.finished(fact)
 
@@ -57,7 +60,7 @@ def team_sides(fact: DataFrame) -> DataFrame:
         )
 
     return played.select(
-        "match_id", "match_date", "competition_code",
+        "match_id", "match_date", "competition_code", *carried,
         F.inline(F.array(side("home", goals_home, goals_away, True), side("away", goals_away, goals_home, False))),
     )
 
@@ -104,7 +107,8 @@ def team_tallies(fact: DataFrame) -> DataFrame:
     Both team tables fold these rows, so a job that builds both scans the fact once. The
     name is a grouping key, which keeps strings out of the large aggregate's buffers.
     """
-    sides = team_sides(fact).withColumn("_recency", staging.recency(F.col("match_date"), F.col("match_id")))
+    dated = fact.withColumn("_recency", staging.recency(F.col("match_date"), F.col("match_id")))
+    sides = team_sides(dated, "_recency")
     keys = ("competition_code", "team_id", "team_name")
     return sides.groupBy(*keys).agg(*_named(_tallies()), F.max("_recency").alias("recency"))
 
