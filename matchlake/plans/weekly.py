@@ -7,7 +7,7 @@ only, and every later scan gets pruned parquet columns.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -20,7 +20,7 @@ from matchlake.operators import filters, joins
 from matchlake.plans import marts, quality, staging
 from matchlake.sinks import landing as landing_sink
 from matchlake.sinks.layers import Layers, load_seasons, together
-from matchlake.sources import landing
+from matchlake.sources import catalog, landing
 
 
 MATCHES, COMPETITIONS = "all_matches", "competitions"
@@ -67,6 +67,21 @@ def load_unflattened(
     return layers.replace(shape.encode_complex(tagged), "bronze", "raw_matches")
 
 
+def load_directory(layers: Layers, root: str) -> DataFrame:
+    """Every parquet dataset of a folder as a bronze table of its name, replaced; returns the inventory."""
+    for name, df in landing.scan_directory(layers.spark, root).items():
+        layers.replace(shape.encode_strict(df), "bronze", name)
+    return catalog.inventory(layers.spark, {"bronze": layers.database("bronze")})
+
+
+def append_tables(layers: Layers, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Add frames to bronze tables, lists and other JSON text typed as VARIANT. A second run adds the rows again."""
+    return {
+        name: layers.append(shape.promote_json(shape.encode_complex(df)), "bronze", name)
+        for name, df in frames.items()
+    }
+
+
 def season_folder(season: int) -> str:
     return f"{MATCHES}/season_year={season}"
 

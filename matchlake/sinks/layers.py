@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,6 +17,22 @@ from matchlake import domain
 from matchlake.functions.shape import quoted
 
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_mode_lock = Lock()
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Dynamic partition overwrite for the statements inside; insertInto takes it from the session only."""
+    with _mode_lock:
+        before = spark.conf.get(_OVERWRITE_MODE)
+        spark.conf.set(_OVERWRITE_MODE, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(_OVERWRITE_MODE, before)
+
+
 @dataclass(frozen=True)
 class Layers:
     """Names and places of the layer databases. `prefix` keeps runs apart in one catalog."""
@@ -70,20 +88,17 @@ class Layers:
     def replace_season(self, df: DataFrame, layer: str, table: str, season: int) -> int:
         """Swap one season's partition and return its rows; other seasons are not touched.
 
-        The partition is named in the statement, so the result does not hang on the
-        session's partition overwrite mode and a second run leaves the same rows.
+        Dynamic overwrite stages the new files and swaps them in at commit, so a read that fails
+        half way leaves the old rows, and a second run leaves the same ones.
         """
         self.ensure(layer)
+        dated = df.drop("season_year").withColumn("season_year", F.lit(int(season)))
         if not self.exists(layer, table):
-            empty = df.limit(0).withColumn("season_year", F.lit(season))
-            empty.write.format("parquet").partitionBy("season_year").saveAsTable(self.name(layer, table))
-        aligned = self._aligned(df, layer, table).drop("season_year")
+            dated.limit(0).write.format("parquet").partitionBy("season_year").saveAsTable(self.name(layer, table))
         counted = Observation()
-        rows = aligned.observe(counted, F.count(F.lit(1)).alias("n"))
-        self.spark.sql(
-            f"INSERT OVERWRITE {self.name(layer, table)} PARTITION (season_year = {int(season)}) SELECT * FROM {{rows}}",
-            rows=rows,
-        )
+        rows = self._aligned(dated, layer, table).observe(counted, F.count(F.lit(1)).alias("n"))
+        with _dynamic_overwrite(self.spark):
+            rows.write.mode("overwrite").insertInto(self.name(layer, table))
         return counted.get["n"]
 
     def _aligned(self, df: DataFrame, layer: str, table: str) -> DataFrame:
@@ -96,8 +111,8 @@ class Layers:
             self.spark.sql(f"ALTER TABLE {self.name(layer, table)} ADD COLUMNS ({columns})")
             target = self.table(layer, table).schema
         present = {c.lower() for c in df.columns}
-        return df.select([
-            (F.col(quoted(f.name)) if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name)
+        return df.selectExpr(*[
+            f"CAST({quoted(f.name) if f.name.lower() in present else 'NULL'} AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
             for f in target.fields
         ])
 

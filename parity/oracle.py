@@ -218,6 +218,11 @@ add(
       CAST(match_year AS INTEGER) AS season,
       CAST(CASE competition_code WHEN 'PL' THEN 2000 ELSE 2001 END AS BIGINT) AS competition_id
       FROM fact WHERE competition_code <> 'PD'""",
+    load_directory="""SELECT 'bronze' AS layer, 'all_matches' AS table_name, COUNT(*) AS row_count FROM bronze
+      UNION ALL SELECT 'bronze', 'competitions', COUNT(DISTINCT competition_code) FROM bronze""",
+    append_tables=f"""SELECT match_id AS id, status, {REFEREES} AS referees,
+      CASE WHEN match_id % 5 <> 0 THEN match_id % 7 END AS first_referee
+      FROM fact, (VALUES (1), (2)) runs(n)""",
     snk_replace="SELECT id, status, season_year FROM bronze",
     snk_append="""SELECT id, status, season_year FROM bronze
       UNION ALL SELECT id, CAST(NULL AS VARCHAR), season_year FROM bronze""",

@@ -226,8 +226,6 @@ def snk_load_seasons(spark: SparkSession, sf: str) -> DataFrame:
     def read_season(season: int) -> DataFrame:
         return landing.read_parquet(spark, f"{root}/{weekly.season_folder(season)}")
 
-    load_seasons(layers, read_season, ASKED_SEASONS)
-    # a second load changes nothing
     outcome = load_seasons(layers, read_season, ASKED_SEASONS)
     stored = layers.table("bronze", "matches").groupBy("season_year").agg(F.count(F.lit(1)).alias("rows_stored"))
     return outcome.join(stored, "season_year", "left").select(
@@ -266,6 +264,23 @@ def load_unflattened(spark: SparkSession, sf: str) -> DataFrame:
     return weekly.load_unflattened(layers, raw_match_folder(spark, sf), path, SEASONS)
 
 
+@query
+def load_directory(spark: SparkSession, sf: str) -> DataFrame:
+    return weekly.load_directory(fresh_layers(spark, "directory"), landing_folder(spark, sf))
+
+
+@query
+def append_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Matches with a typed list column, appended by two runs."""
+    layers, rows = fresh_layers(spark, "appended"), shape.flatten(nested(spark, sf).select("id", "status", "referees"))
+    for _ in range(2):
+        table = weekly.append_tables(layers, {"all_matches": rows})["all_matches"]
+    return table.select(
+        "id", "status", F.to_json("referees").alias("referees"),
+        F.try_variant_get("referees", "$[0].id", "bigint").alias("first_referee"),
+    )
+
+
 # -- projections ----------------------------------------------------------------------------
 
 def _listed(df: DataFrame) -> DataFrame:

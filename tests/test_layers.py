@@ -73,6 +73,21 @@ def test_failed_and_empty_seasons_leave_the_rest(spark, layers, rows):
     assert rows(layers.table("bronze", "matches").select("id")) == [(1,), (2,), (3,), (8,)]
 
 
+def test_a_read_that_fails_half_way_leaves_the_old_season(spark, layers, rows, tmp_path):
+    layers.replace_season(spark.createDataFrame([(1, "old")], COLS), "bronze", "matches", 2023)
+    good = spark.range(5000).selectExpr("id", "CAST(id AS string) AS status")
+    good.coalesce(1).write.parquet(f"{tmp_path}/s")
+    file = next((tmp_path / "s").glob("part-*.parquet"))
+    data = bytearray(file.read_bytes())
+    middle = len(data) // 2
+    data[middle:middle + 4000] = b"\xff" * 4000
+    file.write_bytes(bytes(data))
+    file.with_name(f".{file.name}.crc").write_bytes(b"")
+    outcome = load_seasons(layers, lambda season: spark.read.parquet(f"{tmp_path}/s"), [2023]).first()
+    assert outcome.error is not None and outcome.rows_loaded == 0
+    assert rows(layers.table("bronze", "matches")) == [(1, "old", 2023)]
+
+
 def test_inventory(spark, layers, rows):
     layers.ensure("bronze", "gold")
     assert catalog.inventory(spark, layers.databases()).count() == 0
