@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def iso_timestamp(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
+def wall_clock(ts: dt.datetime) -> Column:
+    """A naive Python time as a zone-less constant; a datetime literal would pass through two zones."""
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def iso_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 

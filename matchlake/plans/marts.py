@@ -107,7 +107,7 @@ def team_tallies(fact: DataFrame) -> DataFrame:
     Both team tables fold these rows, so a job that builds both scans the fact once. The
     name is a grouping key, which keeps strings out of the large aggregate's buffers.
     """
-    dated = fact.withColumn("_recency", staging.recency(F.col("match_date"), F.col("match_id")))
+    dated = fact.withColumn("_recency", staging.recency("match_date", "match_id"))
     sides = team_sides(dated, "_recency")
     keys = ("competition_code", "team_id", "team_name")
     return sides.groupBy(*keys).agg(*_named(_tallies()), F.max("_recency").alias("recency"))

@@ -41,22 +41,29 @@ def stg_competitions(bronze: DataFrame) -> DataFrame:
     )
 
 
-def recency(when: Column, match_id: Column) -> Column:
-    """(time, id) as one decimal that sorts the same way.
+def _micros(when: str) -> Column:
+    """Microseconds of the wall clock since 1970. A cast to an instant would go through the session's
+    zone, where a clock change can swap two times."""
+    day, second = f"unix_date(CAST({when} AS DATE)) * 86400L", f"hour({when}) * 3600L + minute({when}) * 60L"
+    return F.expr(f"({day} + {second}) * 1000000L + CAST(extract(SECOND FROM {when}) * 1000000 AS BIGINT)")
+
+
+def recency(when: str, match_id: str) -> Column:
+    """The columns (time, id) as one decimal that sorts the same way.
 
     A struct would sort the same, but a struct or string in an aggregation buffer makes Spark
     sort every row; a decimal keeps the hash aggregate. Microseconds are below 10^18 in size and
     an id shifted by 2^63 is below 2^64, so 38 digits hold both.
     """
-    micros = F.coalesce(F.unix_micros(when.cast("timestamp")), F.lit(-(10**17)))
-    shifted = match_id.cast("decimal(20,0)") + F.lit(Decimal(2**63)).cast("decimal(20,0)")
+    micros = F.coalesce(_micros(when), F.lit(-(10**17)))
+    shifted = F.col(match_id).cast("decimal(20,0)") + F.lit(Decimal(2**63)).cast("decimal(20,0)")
     scaled = micros.cast("decimal(18,0)") * F.lit(Decimal(2 * 10**19))
     return (scaled + shifted).cast("decimal(38,0)")
 
 
 def team_names(matches: DataFrame, when: str = "match_datetime") -> DataFrame:
     """`(team_id, team_name, recency)` for both sides of each match, from one scan."""
-    seen = matches.withColumn("_recency", recency(F.col(when), F.col("match_id")))
+    seen = matches.withColumn("_recency", recency(when, "match_id"))
 
     def side(which: str) -> Column:
         return F.struct(

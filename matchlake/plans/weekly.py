@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake import domain
-from matchlake.functions import shape
+from matchlake.functions import scalars, shape
 from matchlake.operators import filters, joins
 from matchlake.plans import marts, quality, staging
 from matchlake.sinks import landing as landing_sink
@@ -101,7 +101,7 @@ def build_gold(layers: Layers, run_ts: dt.datetime) -> None:
     Team tables share one aggregate of the fact, and the league overview folds the yearly
     statistics, so the fact is scanned three times for seven tables.
     """
-    stamp = F.lit(run_ts).cast("timestamp_ntz")
+    stamp = scalars.wall_clock(run_ts)
     matches, names = layers.table("silver", "stg_matches"), layers.table("silver", "stg_competitions")
     # staging keeps the season order of bronze, so a task meets one or two years
     fact = layers.replace(

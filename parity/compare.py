@@ -6,11 +6,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import sys
 import time
 from pathlib import Path
 
 import duckdb
+from pyspark.sql import DataFrame
 
 from matchlake.session import build_session
 from parity.oracle import ORACLE
@@ -37,9 +39,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def difference(spark, con, sf_dir: str, name: str) -> str | None:
-    """None if both engines agree on columns and rows."""
-    df = QUERIES[name](spark, sf_dir)
+def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, name: str) -> str | None:
+    """None if the query's DataFrame and its twin agree on columns and rows."""
     columns, rows = normal(df.columns, [tuple(r) for r in df.collect()])
     if name not in ORACLE:
         return None
@@ -57,13 +58,14 @@ def main(argv: list[str]) -> int:
     sf_dir, names = argv[0], argv[1:] or list(QUERIES)
     spark = build_session("parity", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        "spark.sql.session.timeZone": os.environ.get("PARITY_TZ", "UTC"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(sf_dir), 0
     for name in names:
         start = time.time()
         try:
-            problem = difference(spark, con, sf_dir, name)
+            problem = difference(QUERIES[name](spark, sf_dir), con, name)
         except Exception as failure:  # noqa: BLE001 - report and go on with the next query
             problem = f"{type(failure).__name__}: {str(failure)[:600]}"
         bad += problem is not None

@@ -70,7 +70,7 @@ def nested(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stamped_fact(spark: SparkSession, sf: str) -> DataFrame:
-    return derived.fact(orders(spark, sf), F.lit(RUN_TS).cast("timestamp_ntz"))
+    return derived.fact(orders(spark, sf), scalars.wall_clock(RUN_TS))
 
 
 def competitions(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,14 +108,14 @@ def written_once(spark: SparkSession, sf: str, label: str, write: Callable[[str]
 def raw_match_folder(spark: SparkSession, sf: str) -> str:
     payloads = derived.match_payloads(orders(spark, sf)).drop("page")
     return written_once(spark, sf, "raw-matches", lambda path: landing_sink.write_envelopes(
-        payloads, path, ("competition_code", "season_year"), F.lit(RUN_TS)
+        payloads, path, ("competition_code", "season_year"), scalars.wall_clock(RUN_TS)
     ))
 
 
 def raw_competition_folder(spark: SparkSession, sf: str) -> str:
     payloads = derived.competition_payloads(orders(spark, sf))
     return written_once(spark, sf, "raw-competitions", lambda path: landing_sink.write_envelopes(
-        payloads, path, (), F.lit(RUN_TS)
+        payloads, path, (), scalars.wall_clock(RUN_TS)
     ))
 
 
@@ -186,7 +186,7 @@ def src_inventory(spark: SparkSession, sf: str) -> DataFrame:
 def snk_raw_envelope(spark: SparkSession, sf: str) -> DataFrame:
     path = new_scratch(spark, "envelope")
     payloads = derived.match_payloads(orders(spark, sf)).drop("page")
-    landing_sink.write_envelopes(payloads, path, ("competition_code", "season_year"), F.lit(RUN_TS))
+    landing_sink.write_envelopes(payloads, path, ("competition_code", "season_year"), scalars.wall_clock(RUN_TS))
     documents = landing.read_envelopes(spark, path)
     return documents.select(
         "competition_code", "season_year", "extracted_at", "record_count",
@@ -249,7 +249,7 @@ def snk_model_table(spark: SparkSession, sf: str) -> DataFrame:
     layers = fresh_layers(spark, "models")
     matches = layers.replace(staging.stg_matches(bronze(spark, sf)), "silver", "stg_matches")
     names = layers.replace(competitions(spark, sf), "silver", "stg_competitions")
-    stamp = F.lit(RUN_TS).cast("timestamp_ntz")
+    stamp = scalars.wall_clock(RUN_TS)
     return layers.replace(marts.fact_matches(matches, names, stamp), "gold", "fact_matches", ("match_year",))
 
 
@@ -259,7 +259,7 @@ def load_unflattened(spark: SparkSession, sf: str) -> DataFrame:
     path = new_scratch(spark, "two-competitions")
     found = derived.competitions(orders(spark, sf)).where(F.col("code") != "PD")
     payloads = found.select(F.struct(F.array(F.struct("id", "code", "name")).alias("competitions")).alias("payload"))
-    landing_sink.write_envelopes(payloads, path, (), F.lit(RUN_TS))
+    landing_sink.write_envelopes(payloads, path, (), scalars.wall_clock(RUN_TS))
     layers = fresh_layers(spark, "unflattened")
     return weekly.load_unflattened(layers, raw_match_folder(spark, sf), path, SEASONS)
 
@@ -402,7 +402,7 @@ register(
         "match_id", "home_team_id"
     ),
     join_competition=lambda spark, sf: marts.fact_matches(
-        derived.staged(orders(spark, sf)).drop("competition_name"), competitions(spark, sf), F.lit(RUN_TS)
+        derived.staged(orders(spark, sf)).drop("competition_name"), competitions(spark, sf), scalars.wall_clock(RUN_TS)
     ).select("match_id", "competition_code", "competition_name"),
 )
 

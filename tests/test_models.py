@@ -89,9 +89,26 @@ def test_recency_orders_like_time_then_id(spark):
     ids = [-(2**63), -1, 0, 7, 2**63 - 1]
     data = [(t, i, n) for n, (t, i) in enumerate((t, i) for t in times for i in ids)]
     df = spark.createDataFrame(data, "t timestamp_ntz, i bigint, n int")
-    got = df.orderBy(staging.recency(F.col("t"), F.col("i"))).collect()
+    got = df.orderBy(staging.recency("t", "i")).collect()
     assert [r.n for r in got] == list(range(len(data)))
-    assert spark.sql("SELECT 1").select(staging.recency(F.lit(None).cast("timestamp_ntz"), F.lit(1))).first()[0] is not None
+    unknown = spark.sql("SELECT CAST(NULL AS timestamp_ntz) AS t, 1L AS i")
+    first = unknown.unionAll(df.where("n = 0").select("t", "i")).select(staging.recency("t", "i")).collect()
+    assert first[0][0] < first[1][0]
+
+
+def test_a_clock_change_does_not_swap_matches(spark, rows):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 02:30 does not exist on that day in that zone, and would become 03:30
+        times = [("Old", "2024-03-10 02:30:00"), ("New", "2024-03-10 03:10:00")]
+        matches = spark.createDataFrame(
+            [(n, 1, name, 2, "B", when) for n, (name, when) in enumerate(times)],
+            "match_id bigint, home_team_id bigint, home_team_name string, away_team_id bigint, away_team_name string, w string",
+        ).withColumn("match_datetime", F.col("w").cast("timestamp_ntz"))
+        assert rows(staging.stg_teams(matches)) == [(1, "New"), (2, "B")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_unplayed_matches_count_as_loss_in_team_results(fact, rows):

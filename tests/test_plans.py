@@ -52,9 +52,3 @@ def test_season_filter_prunes_folders(spark):
 def test_facts_are_not_shuffled_for_a_checked_dimension(spark):
     text = plan(spark, "join_competition")
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-
-
-@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith(("agg_", "mart_", "flt_", "top_", "dq_", "join_", "set_"))])
-def test_no_cross_join(spark, name):
-    text = plan(spark, name)
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
