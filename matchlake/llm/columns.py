@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.session import new_scratch
+
 # ASCII white space: what separates words and what is stripped from lines
 WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -31,3 +33,14 @@ def restore(df: DataFrame, columns: Sequence[str], **results: Column) -> DataFra
 def hash128(value: Column) -> list[Column]:
     """Two independent 64-bit hashes: together wide enough that no corpus has a collision."""
     return [F.xxhash64(value), F.xxhash64(F.lit("second"), value)]
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Cuts the lineage by a checkpoint in the shared folder; a lost executor costs no recomputation.
+
+    Folder: what the session names in spark.checkpoint.dir, or one of the library's own where it is unset.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(new_scratch(df.sparkSession, "checkpoints"))
+    return df.checkpoint()

@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import chat, line_dedup, sharding
+from matchlake.llm import chat, fertility, line_dedup, packing, sharding, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1_chat_formatting,
+    "op2_packing": packing.op2_packing,
+    "op3_quality_rules": fertility.op3_quality_rules,
     "op5_sharding": sharding.op5_sharding,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op8_line_dedup": line_dedup.op8_line_dedup,
 }
 
