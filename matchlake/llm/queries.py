@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import chat, fertility, line_dedup, near_copies, packing, sharding, suffixes, token_counts
+from matchlake.llm import chat, decontaminate, fertility, line_dedup, near_copies, packing, sharding, suffixes, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1_chat_formatting,
     "op2_packing": packing.op2_packing,
     "op3_quality_rules": fertility.op3_quality_rules,
+    "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_sharding": sharding.op5_sharding,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_jaccard_join": near_copies.op7_jaccard_join,
