@@ -15,19 +15,26 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def isolate(df: DataFrame, **named: str) -> DataFrame:
-    """The columns an operator works on under its own names, and the whole row as `_row`.
+    """The columns an operator works on under its own names, and all other columns as `_row`.
 
     Internal names start with an underscore after this, so the input's other columns cannot
     clash with them, whatever they are called.
     """
-    whole = F.struct(*[df[c].alias(c) for c in df.columns]).alias("_row")
-    return df.select(*[df[source].alias(f"_{name}") for name, source in named.items()], whole)
+    others = [df[c].alias(c) for c in df.columns if c not in named.values()]
+    row = F.struct(*others) if others else F.lit(None).cast("boolean")
+    return df.select(*[df[source].alias(f"_{name}") for name, source in named.items()], row.alias("_row"))
 
 
-def restore(df: DataFrame, columns: Sequence[str], **results: Column) -> DataFrame:
-    """The input's columns from `_row` with `results` added; a result replaces a column of its name."""
-    kept = [F.col("_row")[c].alias(c) for c in columns if c not in results]
-    return df.select(*kept, *[value.alias(name) for name, value in results.items()])
+def restore(df: DataFrame, columns: Sequence[str], named: dict[str, str], **results: Column) -> DataFrame:
+    """The input's columns again, with `results` added; a result replaces a column of its name.
+
+    `named` gives the columns outside `_row` as isolate() took them: {"doc": "doc_id"}.
+    """
+    # results get their names last: in one select they could be taken for a column named by an alias
+    done = df.select("_row", *[f"_{name}" for name in named], *[v.alias(f"_out_{name}") for name, v in results.items()])
+    back = {source: done[f"_{name}"] for name, source in named.items()}
+    kept = [back.get(c, done["_row"][c]).alias(c) for c in columns if c not in results]
+    return done.select(*kept, *[done[f"_out_{name}"].alias(name) for name in results])
 
 
 def hash128(value: Column) -> list[Column]:

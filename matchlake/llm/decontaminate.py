@@ -214,7 +214,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, templates: Templates | Non
     ).distinct()
     work = isolate(docs, doc="doc_id", text="text").withColumn("_version", F.xxhash64("_text"))
     same = F.col("_doc").eqNullSafe(F.col("_bad")) & (F.col("_version") == F.col("_bad_version"))
-    return restore(work.join(bad, same, "left_anti"), docs.columns)
+    return restore(work.join(bad, same, "left_anti"), docs.columns, {"doc": "doc_id", "text": "text"})
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -270,7 +270,7 @@ def keep_good(docs: DataFrame, path: str, rules: Bands | None = None) -> DataFra
     good = work.join(
         bad, F.col("_doc").eqNullSafe(F.col("_bad")) & (F.col("_version") == F.col("_bad_version")), "left_anti"
     )
-    return restore(good, docs.columns)
+    return restore(good, docs.columns, {"doc": "doc_id", "text": "text"})
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def drop_shared_lines(
     every = F.sequence(F.lit(0), F.size(parts) - 1)
     kept = F.transform(F.array_except(every, F.col("_gone")), lambda i: F.get(parts, i))
     return restore(
-        joined, docs.columns,
+        joined, docs.columns, {"doc": doc_id},
         **{text: F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n"))},
         n_lines=F.size(parts).cast("long"),
         n_dropped=F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),

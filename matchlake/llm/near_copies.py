@@ -328,7 +328,7 @@ def keep_one(docs: DataFrame, join: Join | None = None) -> DataFrame:
     same: Column = F.col("_doc").eqNullSafe(F.col("_keep")) & (F.col("_version") == F.col("_keep_version"))
     once = Window.partitionBy("_doc", "_version").orderBy("_doc")
     kept = work.join(keepers, same, "left_semi").withColumn("_nth", F.row_number().over(once)).where("_nth = 1")
-    return restore(kept, docs.columns)
+    return restore(kept, docs.columns, {"doc": "doc_id", "text": "text"})
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

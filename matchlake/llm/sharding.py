@@ -71,7 +71,7 @@ def assign_shards(
     )
     more = rendezvous(F.col("_doc"), grown) if grown else F.lit(None)
     return restore(
-        placed, docs.columns, shard=F.col("_shard").cast("int"),
+        placed, docs.columns, {"doc": doc_id, "text": text}, shard=F.col("_shard").cast("int"),
         slot=(F.col("_first") + F.col("_number")).cast("long"), grown_shard=more.cast("int"),
     )
 

@@ -9,8 +9,8 @@ match of `length` bytes is missed although only about one suffix in 35 is stored
 
 One family lives in each task that reads texts, and one in each task that takes a slice of the
 suffixes from all of them. Suffixes with equal surroundings are settled by the merge. Those which only
-share a beginning are settled window by window from the bytes around them, and those whose
-beginning is very common go through a Spark aggregate of window hashes instead.
+share a beginning are few; the bytes around them are fetched, and they are settled window by
+window. Those whose beginning is very common go through a Spark aggregate of window hashes instead.
 """
 
 from __future__ import annotations
@@ -33,25 +33,27 @@ from matchlake.session import new_scratch
 HEAD = 32
 _BYTE32 = np.random.default_rng(7).integers(0, 2**32, 256, dtype=np.uint32)
 NULL_DOC = -(2**63)
-NAMES = ("w0", "w1", "w2", "w3", "around", "doc", "version", "place", "left", "more", "source", "at")
-TYPES = ("u8", "u8", "u8", "u8", "u8", "i8", "i8", "i4", "u2", "u2", "i4", "i8")
+# begin: the first eight bytes; head: a hash of the first HEAD bytes; around: one of all bytes of the windows
+NAMES = ("begin", "head", "around", "doc", "version", "place", "left", "more")
+TYPES = ("u8", "u8", "u8", "i8", "i4", "i4", "u2", "u2")
 
 
 @dataclass(frozen=True)
 class Matching:
     length: int = 100
     # bytes of text whose suffixes a task merges before it sends them on
-    held_bytes: int = 24 << 20
+    held_bytes: int = 16 << 20
     # a beginning with more surroundings than this in one such batch, or in one slice, is very common
     common_in_batch: int = 64
     common_in_slice: int = 20_000
 
 
 class Suffixes:
-    """A sparse suffix array: columns sorted by the suffix's head, its surroundings, document and place.
+    """A sparse suffix array: columns sorted by the suffix, its surroundings, document and place.
 
-    doc, version and place say where the first window starts; `left` bytes later the suffix starts;
-    `more` further windows start right behind the first. `source` and `at` find the bytes.
+    Suffixes are sorted by their first eight bytes and then by a hash of the first HEAD. doc, version and
+    place say where the first window starts; `left` bytes later the suffix starts; `more` further windows
+    start right behind the first.
     """
 
     def __init__(self, columns: dict[str, np.ndarray]) -> None:
@@ -68,7 +70,7 @@ class Suffixes:
 
     def ordered(self) -> Suffixes:
         c = self.columns
-        return self.take(np.lexsort((c["version"], c["place"], c["doc"], c["around"], c["w3"], c["w2"], c["w1"], c["w0"])))
+        return self.take(np.lexsort((c["version"], c["place"], c["doc"], c["around"], c["head"], c["begin"])))
 
     def runs(self, *names: str) -> np.ndarray:
         """Where a new value of these columns begins, in order."""
@@ -83,9 +85,6 @@ def joined(parts: list[Suffixes]) -> Suffixes:
     return Suffixes({k: np.concatenate([p[k] for p in parts]) for k in NAMES})
 
 
-HEADS = ("w0", "w1", "w2", "w3")
-
-
 def scan(both: Suffixes) -> tuple[Suffixes, Suffixes]:
     """(stay, repeated) of a sorted array.
 
@@ -94,7 +93,7 @@ def scan(both: Suffixes) -> tuple[Suffixes, Suffixes]:
     """
     if not len(both):
         return both, both
-    starts = both.runs(*HEADS, "around")
+    starts = both.runs("begin", "head", "around")
     leader = np.repeat(starts, np.diff(np.r_[starts, len(both)]))
     later = (both["doc"] != both["doc"][leader]) | (both["place"] != both["place"][leader])
     twin = ~later & (both["version"] == both["version"][leader])
@@ -136,7 +135,7 @@ def empty() -> Suffixes:
 
 
 def sampled(
-    data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, versions: np.ndarray, source: int, length: int
+    data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, versions: np.ndarray, length: int
 ) -> Suffixes:
     """The suffixes of a run of texts that windows of `length` bytes name, in text order."""
     lengths = np.diff(offsets)
@@ -175,59 +174,94 @@ def sampled(
     suffix = suffix[first]
     text = np.searchsorted(offsets, first, side="right") - 1
     left = suffix - first
-    head = np.ascontiguousarray(data[suffix[:, None] + np.arange(HEAD)]).view(">u8").astype(np.uint64)
-    around = ragged.SliceHash(data)(first, last + length)
+    begin = np.ascontiguousarray(data[suffix[:, None] + np.arange(8)]).view(">u8")[:, 0]
+    slice_hash = ragged.SliceHash(data)
+    around = slice_hash(first, last + length)
     around = ragged.mixed(around ^ (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
     values = (
-        *head.T, around, docs[text], versions[text], first - offsets[text], left, last - first,
-        np.full(len(first), source), first,
+        begin, slice_hash(suffix, suffix + HEAD), around, docs[text], versions[text], first - offsets[text], left, last - first,
     )
     return Suffixes({k: np.ascontiguousarray(v, dtype=t) for k, t, v in zip(NAMES, TYPES, values, strict=True)})
 
 
-def head_hash(s: Suffixes) -> np.ndarray:
-    total = np.zeros(len(s), dtype=np.uint64)
-    for name in HEADS:
-        total = ragged.mixed(total * np.uint64(0x9E3779B97F4A7C15) + s[name])
-    return total
-
-
-def window_hashes(s: Suffixes, context: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, number of the window in its row, hash) of all windows of `s`; `context` has the rows' bytes in turn."""
-    counts = s["more"].astype(np.int64) + 1
+def window_hashes(left: np.ndarray, more: np.ndarray, context: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, number of the window in its row, hash) of all windows; `context` has the rows' bytes in turn."""
+    counts = more.astype(np.int64) + 1
     sizes = counts - 1 + length
     starts = np.cumsum(sizes) - sizes
-    row = np.repeat(np.arange(len(s)), counts)
+    row = np.repeat(np.arange(len(counts)), counts)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = starts[row] + nth
     hashes = ragged.SliceHash(context)(at, at + length)
-    off = (s["left"][row].astype(np.int64) - nth).astype(np.uint64)
-    return row, nth, ragged.mixed(hashes + off)
+    return row, nth, ragged.mixed(hashes + (left[row].astype(np.int64) - nth).astype(np.uint64))
 
 
-OUT = T.StructType([
-    T.StructField("_doc", T.LongType()), T.StructField("_version", T.LongType()), T.StructField("_start", T.IntegerType()),
-    T.StructField("_end", T.IntegerType()), T.StructField("_hash", T.LongType()), T.StructField("_head", T.LongType()),
-])
 SENT = T.StructType([T.StructField("_slice", T.IntegerType()), T.StructField("_kind", T.IntegerType()), T.StructField("_data", T.BinaryType())])
-INDEX, SPANS, WINDOWS, COMMON = range(4)
+INDEX, SPANS, OPEN, COMMON, CONTEXTS, WINDOWS = range(6)
+SPAN_TYPES = ("i8", "i4", "i4", "i4")
+# doc, version, place, left, more, head, whether its head is very common
+OPEN_TYPES = ("i8", "i4", "i4", "u2", "u2", "u8", "u1")
+# doc, version, place, hash of the window, head
+WINDOW_TYPES = ("i8", "i4", "i4", "u8", "u8")
+_MERGED_FIELDS = (
+    ("_doc", T.LongType()), ("_version", T.IntegerType()), ("_start", T.IntegerType()), ("_end", T.IntegerType()),
+    ("_left", T.IntegerType()), ("_more", T.IntegerType()), ("_head", T.LongType()), ("_common", T.BooleanType()),
+)
+# a span, or (with _head) a suffix that is still open
+MERGED = T.StructType([T.StructField(n, t) for n, t in _MERGED_FIELDS])
+# a span, or (with _hash) a window
+SETTLED = T.StructType([
+    *MERGED.fields[:4], T.StructField("_hash", T.LongType()), T.StructField("_head", T.LongType()),
+])
 
 
-def packed(arrays: list[np.ndarray], extra: bytes = b"") -> bytes:
-    return np.array([len(arrays[0])], dtype="<i8").tobytes() + b"".join(a.tobytes() for a in arrays) + extra
+def packed(arrays: list[np.ndarray], types: tuple[str, ...], extra: bytes = b"") -> bytes:
+    """Columns and further bytes, compressed."""
+    body = b"".join(np.ascontiguousarray(a, dtype=t).tobytes() for a, t in zip(arrays, types, strict=True))
+    return len(arrays[0]).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(body + extra)
 
 
 def unpacked(blob: bytes, types: tuple[str, ...]) -> tuple[list[np.ndarray], bytes]:
-    n = int(np.frombuffer(blob, dtype="<i8", count=1)[0])
-    at, arrays = 8, []
+    n, body, at, arrays = int.from_bytes(blob[:8], "little"), zstandard.ZstdDecompressor().decompress(blob[8:]), 0, []
     for t in types:
-        arrays.append(np.frombuffer(blob, dtype=t, count=n, offset=at))
+        arrays.append(np.frombuffer(body, dtype=t, count=n, offset=at))
         at += n * np.dtype(t).itemsize
-    return arrays, blob[at:]
+    return arrays, body[at:]
+
+
+def sent(rows: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(rows), 64):
+        part = rows[k : k + 64]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[c] for r in part], t) for c, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=SENT.names
+        )
+
+
+def by_slice(slice_of: np.ndarray, kind: int, arrays: list[np.ndarray], types: tuple[str, ...]) -> list[tuple[int, int, bytes]]:
+    """One packed row for each slice that has entries, which keep their order."""
+    order = np.argsort(slice_of, kind="stable")
+    ends = np.flatnonzero(np.r_[slice_of[order][1:] != slice_of[order][:-1], True]) + 1 if len(order) else []
+    rows, a = [], 0
+    for b in ends:
+        rows.append((int(slice_of[order[a]]), kind, packed([x[order[a:b]] for x in arrays], types)))
+        a = b
+    return rows
+
+
+def out(schema: T.StructType, **columns: np.ndarray) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    types = {f.name: t for f, t in zip(schema.fields, map(arrow_type, schema.fields), strict=True)}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[c], types[c]) if c in columns else pa.nulls(n, types[c]) for c in schema.names], names=schema.names
+    )
+
+
+def arrow_type(field: T.StructField) -> pa.DataType:
+    return {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.BooleanType(): pa.bool_()}[field.dataType]
 
 
-SPAN_TYPES = ("i8", "i8", "i4", "i4")
-WINDOW_TYPES = ("i8", "i8", "i4", "u8", "u8")
+def out_spans(schema: T.StructType, columns: list[np.ndarray]) -> pa.RecordBatch:
+    return out(schema, **dict(zip(("_doc", "_version", "_start", "_end"), columns, strict=True)))
 
 
 def spans(s: Suffixes, length: int) -> list[np.ndarray]:
@@ -258,167 +292,150 @@ class Sender:
         self.clear()
 
     def clear(self) -> None:
-        self.family, self.held, self.repeated, self.bytes = Family(), [], [], 0
+        self.family, self.repeated, self.bytes = Family(), [], 0
 
     def add(self, data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, versions: np.ndarray) -> Iterator[pa.RecordBatch]:
-        batch = sampled(data, offsets, docs, versions, len(self.held), self.m.length)
-        self.held.append(data)
+        self.repeated.append(self.family.add(sampled(data, offsets, docs, versions, self.m.length).ordered()))
         self.bytes += len(data)
-        self.repeated.append(self.family.add(batch.ordered()))
         if self.bytes >= self.m.held_bytes:
             yield from self.flush()
 
-    def context(self, s: Suffixes) -> np.ndarray:
-        """The bytes around each suffix, one after the other."""
-        sizes = s["more"].astype(np.int64) + self.m.length
-        bases = np.cumsum([0, *map(len, self.held)])[:-1]
-        return ragged.gather(np.concatenate(self.held), bases[s["source"]] + s["at"], sizes)
-
     def flush(self) -> Iterator[pa.RecordBatch]:
-        if not self.held:
+        if not self.repeated:
             return
         stay, repeated = self.family.close()
-        rows: list[tuple[int, int, bytes]] = []
-        doc, version, start, end = spans(joined([*self.repeated, repeated]), self.m.length)
-        where = (version.astype(np.uint64) % np.uint64(self.slices)).astype(np.int64)
-        for k in np.unique(where):
-            of = where == k
-            rows.append((int(k), SPANS, packed([doc[of], version[of], start[of], end[of]])))
-        common = np.zeros(len(stay), dtype=bool)
+        covered = spans(joined([*self.repeated, repeated]), self.m.length)
+        rows = by_slice(self._of_text(covered[0], covered[1]), SPANS, covered, SPAN_TYPES)
         if len(stay):
-            starts = stay.runs(*HEADS)
+            starts = stay.runs("begin", "head")
             sizes = np.diff(np.r_[starts, len(stay)])
-            common = np.repeat(sizes > self.m.common_in_batch, sizes)
-            heads = head_hash(stay)
-            slice_of = (heads % np.uint64(self.slices)).astype(np.int64)
-            if common.any():
-                told = np.intersect1d(starts, np.flatnonzero(common))
-                for k in np.unique(slice_of[told]):
-                    rows.append((int(k), COMMON, packed([heads[told][slice_of[told] == k]])))
-                often = stay.take(np.flatnonzero(common))
-                own = heads[common]
-                # in parts: each suffix has up to `length` windows
-                for a in range(0, len(often), 20_000):
-                    part = often.take(np.arange(a, min(a + 20_000, len(often))))
-                    row, nth, hashes = window_hashes(part, self.context(part), self.m.length)
-                    blob = packed([part["doc"][row], part["version"][row], (part["place"][row] + nth).astype(np.int32), hashes, own[a:][row]])
-                    rows.append((int(own[a] % np.uint64(self.slices)), WINDOWS, blob))
-            rest = np.flatnonzero(~common)
-            rest = rest[np.argsort(slice_of[rest], kind="stable")]
-            bounds = np.searchsorted(slice_of[rest], np.arange(self.slices + 1))
-            packer = zstandard.ZstdCompressor(level=1)
-            for k in range(self.slices):
-                if bounds[k] < bounds[k + 1]:
-                    part = stay.take(rest[bounds[k] : bounds[k + 1]])
-                    blob = packed([part[c] for c in NAMES[:-2]], packer.compress(self.context(part).tobytes()))
-                    rows.append((k, INDEX, blob))
-        self.clear()
-        for k in range(0, len(rows), 64):
-            part = rows[k : k + 64]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.int32()), pa.array([r[2] for r in part], pa.binary())],
-                names=SENT.names,
+            slice_of = (stay["head"] % np.uint64(self.slices)).astype(np.int64)
+            # the slice hears that a head is very common, but its suffixes go elsewhere
+            often = np.flatnonzero(np.repeat(sizes > self.m.common_in_batch, sizes))
+            told = starts[sizes > self.m.common_in_batch]
+            rows += by_slice(slice_of[told], COMMON, [stay["head"][told]], ("u8",))
+            some = stay.take(often)
+            rows += by_slice(
+                self._of_text(some["doc"], some["version"]), OPEN,
+                [*[some[c] for c in ("doc", "version", "place", "left", "more", "head")], np.ones(len(some), dtype="u1")], OPEN_TYPES,
             )
+            rest = np.setdiff1d(np.arange(len(stay)), often, assume_unique=True)
+            rows += by_slice(slice_of[rest], INDEX, [stay[c][rest] for c in NAMES], TYPES)
+        self.clear()
+        yield from sent(rows)
 
+    def _of_text(self, docs: np.ndarray, versions: np.ndarray) -> np.ndarray:
+        mixed = ragged.mixed(docs.astype(np.uint64) ^ versions.astype(np.uint64))
+        return (mixed % np.uint64(self.slices)).astype(np.int64)
 
-class Receiver:
+
+class Merger:
     """The family of one task that takes a slice of the suffixes."""
 
     def __init__(self, m: Matching) -> None:
         self.m, self.family = m, Family()
-        self.contexts: list[bytes] = []
         self.common: list[np.ndarray] = []
 
     def take(self, kind: int, blob: bytes) -> Iterator[pa.RecordBatch]:
         if kind == SPANS:
-            yield out_spans(unpacked(blob, SPAN_TYPES)[0])
-        elif kind == WINDOWS:
-            yield out_windows(unpacked(blob, WINDOW_TYPES)[0])
+            yield out_spans(MERGED, unpacked(blob, SPAN_TYPES)[0])
+        elif kind == OPEN:
+            yield self._open(*unpacked(blob, OPEN_TYPES)[0])
         elif kind == COMMON:
             self.common.append(unpacked(blob, ("u8",))[0][0])
         else:
-            arrays, context = unpacked(blob, TYPES[:-2])
-            n = len(arrays[0])
-            columns = dict(zip(NAMES[:-2], arrays, strict=True))
-            sizes = columns["more"].astype(np.int64) + self.m.length
-            columns |= {"source": np.full(n, len(self.contexts), dtype="i4"), "at": np.cumsum(sizes) - sizes}
-            self.contexts.append(context)
-            yield out_spans(spans(self.family.add(Suffixes(columns)), self.m.length))
+            batch = Suffixes(dict(zip(NAMES, unpacked(blob, TYPES)[0], strict=True)))
+            yield out_spans(MERGED, spans(self.family.add(batch), self.m.length))
+
+    @staticmethod
+    def _open(*columns: np.ndarray) -> pa.RecordBatch:
+        doc, version, place, left, more, head, common = columns
+        return out(
+            MERGED, _doc=doc, _version=version, _start=place, _left=left.astype(np.int32), _more=more.astype(np.int32),
+            _head=head.view(np.int64), _common=common.astype(bool),
+        )
 
     def close(self) -> Iterator[pa.RecordBatch]:
         stay, repeated = self.family.close()
-        yield out_spans(spans(repeated, self.m.length))
+        yield out_spans(MERGED, spans(repeated, self.m.length))
         if not len(stay):
             return
-        starts = stay.runs(*HEADS)
+        starts = stay.runs("begin", "head")
         sizes = np.diff(np.r_[starts, len(stay)])
-        heads = head_hash(stay)
-        told = np.isin(heads, np.concatenate(self.common)) if self.common else np.zeros(len(stay), dtype=bool)
-        told |= np.repeat(sizes > self.m.common_in_slice, sizes)
-        shared = np.repeat(sizes > 1, sizes) | told
-        stay, heads, told = stay.take(np.flatnonzero(shared)), heads[shared], told[shared]
-        unpack = zstandard.ZstdDecompressor()
-        groups = np.cumsum(np.r_[False, heads[1:] != heads[:-1]]) if len(stay) else np.zeros(0, dtype=np.int64)
-        # whole groups at a time, so many that their windows fit in memory
-        part_of = np.cumsum(stay["more"].astype(np.int64) + 1) // 400_000
-        first_of_group = np.r_[True, np.diff(groups) > 0] if len(stay) else np.zeros(0, dtype=bool)
-        cuts = [0]
-        for k in np.flatnonzero(first_of_group):
-            if part_of[k] > part_of[cuts[-1]]:
-                cuts.append(int(k))
-        cuts.append(len(stay))
-        texts = self._contexts_of(stay, unpack)
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if a == b:
-                continue
-            part = stay.take(np.arange(a, b))
-            context = np.concatenate([texts[k] for k in range(a, b)])
-            row, nth, hashes = window_hashes(part, context, self.m.length)
-            doc, version, place = part["doc"][row], part["version"][row], part["place"][row].astype(np.int64) + nth
-            pass_on = told[a:b][row]
-            if pass_on.any():
-                yield out_windows([doc[pass_on], version[pass_on], place[pass_on].astype(np.int32), hashes[pass_on], heads[a:b][row][pass_on]])
-            own = np.flatnonzero(~pass_on)
-            doc, version, place, hashes, group = doc[own], version[own], place[own], hashes[own], groups[a:b][row][own]
-            order = np.lexsort((place, doc, hashes, group))
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (group[order][1:] != group[order][:-1])
-            leads = np.flatnonzero(new)
-            leader = order[np.repeat(leads, np.diff(np.r_[leads, len(order)]))]
-            later = order[(doc[order] != doc[leader]) | (place[order] != place[leader])]
-            later = later[np.lexsort((place[later], version[later], doc[later]))]
-            yield out_spans(joined_spans(doc[later], version[later], place[later], place[later] + self.m.length))
-
-    def _contexts_of(self, s: Suffixes, unpack: zstandard.ZstdDecompressor) -> list[np.ndarray]:
-        """Each suffix's surroundings; one compressed batch is open at a time."""
-        found: list[np.ndarray] = [np.zeros(0, dtype=np.uint8)] * len(s)
-        sizes = s["more"].astype(np.int64) + self.m.length
-        order = np.argsort(s["source"], kind="stable")
-        source, data = -1, np.zeros(0, dtype=np.uint8)
-        for k in order.tolist():
-            if s["source"][k] != source:
-                source = int(s["source"][k])
-                data = np.frombuffer(unpack.decompress(self.contexts[source]), dtype=np.uint8)
-            found[k] = data[s["at"][k] : s["at"][k] + sizes[k]].copy()
-        return found
-
-
-def out_spans(columns: list[np.ndarray]) -> pa.RecordBatch:
-    doc, version, start, end = columns
-    none = pa.nulls(len(doc), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(version), pa.array(start), pa.array(end), none, none], names=OUT.names)
-
-
-def out_windows(columns: list[np.ndarray]) -> pa.RecordBatch:
-    doc, version, place, hashes, heads = columns
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc), pa.array(version), pa.array(place), pa.nulls(len(doc), pa.int32()), pa.array(hashes.view(np.int64)), pa.array(heads.view(np.int64))],
-        names=OUT.names,
-    )
-
-
-def repeated_spans(docs: DataFrame, matching: Matching | None = None) -> DataFrame:
-    """(_doc, _version, _start, _end) over `docs` with the columns _doc (long, not null), _version, _text."""
+        common = np.repeat(sizes > self.m.common_in_slice, sizes)
+        if self.common:
+            common |= np.isin(stay["head"], np.concatenate(self.common))
+        some = np.flatnonzero(np.repeat(sizes > 1, sizes) | common)
+        yield self._open(*[stay[c][some] for c in ("doc", "version", "place", "left", "more", "head")], common[some])
+
+
+def fetched(keys: np.ndarray, texts: pa.Array, opened: pa.Array, slices: int, m: Matching) -> list[tuple[int, int, bytes]]:
+    """Packed rows of one batch of texts: the bytes around open suffixes, or windows of very common ones."""
+    lists = opened.offsets.to_numpy() - opened.offsets[0].as_py()
+    flat = opened.flatten()
+    own = np.repeat(np.arange(len(texts)), np.diff(lists))
+    place, left, more = (flat.field(c).to_numpy().astype(np.int64) for c in ("_start", "_left", "_more"))
+    head = flat.field("_head").to_numpy().view(np.uint64)
+    common = flat.field("_common").to_numpy(zero_copy_only=False)
+    whole = texts.cast(pa.large_string())
+    bounds = np.frombuffer(whole.buffers()[1], dtype=np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    data = np.frombuffer(whole.buffers()[2], dtype=np.uint8)
+    sizes = more + m.length
+    doc, version = keys[0][own], keys[1][own]
+    rows = []
+    few = np.flatnonzero(~common)
+    slice_of = (head % np.uint64(slices)).astype(np.int64)
+    few = few[np.argsort(slice_of[few], kind="stable")]
+    cuts = np.searchsorted(slice_of[few], np.arange(slices + 1))
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
+        of = few[cuts[k] : cuts[k + 1]]
+        context = ragged.gather(data, bounds[own[of]] + place[of], sizes[of])
+        columns = [doc[of], version[of], place[of], left[of], more[of], head[of], np.zeros(len(of))]
+        rows.append((k, CONTEXTS, packed(columns, OPEN_TYPES, context.tobytes())))
+    many = np.flatnonzero(common)
+    for a in range(0, len(many), 10_000):
+        of = many[a : a + 10_000]
+        context = ragged.gather(data, bounds[own[of]] + place[of], sizes[of])
+        row, nth, hashes = window_hashes(left[of], more[of], context, m.length)
+        columns = [doc[of][row], version[of][row], place[of][row] + nth, hashes, head[of][row]]
+        rows.append((int(hashes[0] % np.uint64(slices)), WINDOWS, packed(columns, WINDOW_TYPES)))
+    return rows
+
+
+def settled(opened: list[list[np.ndarray]], contexts: list[bytes], m: Matching) -> Iterator[pa.RecordBatch]:
+    """Spans of the windows that start later than an equal one, over all suffixes that share a head."""
+    if not opened:
+        return
+    doc, version, place, left, more, head, _ = (np.concatenate(c) for c in zip(*opened, strict=True))
+    sizes = more.astype(np.int64) + m.length
+    context, starts = np.frombuffer(b"".join(contexts), dtype=np.uint8), np.cumsum(sizes) - sizes
+    order = np.argsort(head, kind="stable")
+    new_head = np.flatnonzero(np.r_[True, head[order][1:] != head[order][:-1]])
+    # whole heads at a time, so many that their windows fit in memory
+    before = np.r_[0, np.cumsum(more[order].astype(np.int64) + 1)]
+    a = 0
+    while a < len(order):
+        fits = np.searchsorted(before[new_head], before[a] + 300_000, side="right") - 1
+        b = int(new_head[fits]) if new_head[fits] > a else int(np.r_[new_head, len(order)][np.searchsorted(new_head, a, side="right")])
+        if before[-1] - before[a] <= 300_000:
+            b = len(order)
+        rows = order[a:b]
+        a = b
+        row, nth, hashes = window_hashes(left[rows], more[rows], ragged.gather(context, starts[rows], sizes[rows]), m.length)
+        d, v, p, h = doc[rows][row], version[rows][row], place[rows][row] + nth, head[rows][row]
+        sort = np.lexsort((p, d, hashes, h))
+        new = np.ones(len(sort), dtype=bool)
+        new[1:] = (hashes[sort][1:] != hashes[sort][:-1]) | (h[sort][1:] != h[sort][:-1])
+        leads = np.flatnonzero(new)
+        leader = sort[np.repeat(leads, np.diff(np.r_[leads, len(sort)]))]
+        later = sort[(d[sort] != d[leader]) | (p[sort] != p[leader])]
+        later = later[np.lexsort((p[later], v[later], d[later]))]
+        yield out_spans(SETTLED, joined_spans(d[later], v[later], p[later], p[later] + m.length))
+
+
+def repeated_spans(docs: DataFrame, placed: DataFrame, matching: Matching | None = None) -> DataFrame:
+    """(_doc, _version, _start, _end) of what is repeated in `docs`, which has the columns _doc (long, not
+    null), _version and _text (not null) and any others. `placed` is `docs` partitioned by _doc and _version."""
     m = matching or Matching()
     slices = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -427,29 +444,55 @@ def repeated_spans(docs: DataFrame, matching: Matching | None = None) -> DataFra
         for batch in batches:
             keys, versions = (batch.column(k).to_numpy() for k in (0, 1))
             for rows, data, offsets in ragged.chunks(batch, "_text"):
-                yield from sender.add(data.copy(), offsets, keys[rows], versions[rows])
+                yield from sender.add(data, offsets, keys[rows], versions[rows])
         yield from sender.flush()
 
-    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        receiver = Receiver(m)
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merger = Merger(m)
         for batch in batches:
             for kind, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                yield from receiver.take(kind, blob)
-        yield from receiver.close()
+                yield from merger.take(kind, blob)
+        yield from merger.close()
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, len(batch) * ragged.CHUNK_BYTES // max(1, batch.nbytes))
+            for k in range(0, len(batch), step):
+                part = batch.slice(k, step)
+                yield from sent(fetched((part.column(0).to_numpy(), part.column(1).to_numpy()), part.column(2), part.column(3), slices, m))
 
-    sent = docs.select("_doc", "_version", "_text").mapInArrow(send, SENT)
-    found = sent.repartitionById(slices, F.col("_slice")).mapInArrow(receive, OUT)
-    # read twice below: spans as they are, windows for one more aggregate
+    def settle_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened, contexts = [], []
+        for batch in batches:
+            for kind, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if kind == CONTEXTS:
+                    columns, context = unpacked(blob, OPEN_TYPES)
+                    opened.append(columns)
+                    contexts.append(context)
+                else:
+                    doc, version, place, hashes, head = unpacked(blob, WINDOW_TYPES)[0]
+                    yield out(SETTLED, _doc=doc, _version=version, _start=place, _hash=hashes.view(np.int64), _head=head.view(np.int64))
+        yield from settled(opened, contexts, m)
+
+    work = docs.select("_doc", "_version", "_text")
+    merged = work.mapInArrow(send, SENT).repartitionById(slices, F.col("_slice")).mapInArrow(merge, MERGED)
+    # read twice below
     path = new_scratch(docs.sparkSession, "suffix-spans")
-    found.write.parquet(path)
-    found = docs.sparkSession.read.schema(OUT).parquet(path)
-    windows = found.where(F.col("_hash").isNotNull())
+    merged.write.parquet(path)
+    merged = docs.sparkSession.read.schema(MERGED).parquet(path)
+    still = F.struct("_start", "_left", "_more", "_head", "_common")
+    opened = merged.where(F.col("_head").isNotNull()).groupBy("_doc", "_version").agg(F.collect_list(still).alias("_open"))
+    texts = placed.join(opened, ["_doc", "_version"]).select("_doc", "_version", "_text", "_open", *[c for c in docs.columns if c not in work.columns])
+    done = texts.mapInArrow(fetch, SENT).repartitionById(slices, F.col("_slice")).mapInArrow(settle_, SETTLED)
+    windows = done.where(F.col("_hash").isNotNull())
     place = F.struct("_doc", "_start")
     firsts = windows.groupBy("_hash", "_head").agg(F.min(place).alias("_first"))
     later = windows.join(firsts, ["_hash", "_head"]).where(place > F.col("_first")).select(
         "_doc", "_version", "_start", (F.col("_start") + m.length).alias("_end")
     )
-    return found.where(F.col("_hash").isNull()).select("_doc", "_version", "_start", "_end").unionByName(later)
+    columns = ["_doc", "_version", "_start", "_end"]
+    return merged.where(F.col("_head").isNull()).select(*columns).unionByName(
+        done.where(F.col("_hash").isNull()).select(*columns)).unionByName(later)
 
 
 def drop_repeats(
@@ -466,23 +509,28 @@ def drop_repeats(
       neither is earlier, so repeated rows do not remove each other.
     - Extra columns are carried; columns named as a result are replaced. An empty table gives no rows.
 
-    A task holds `held_bytes` of text, or one longer text, with its suffixes; then a slice of all
-    suffixes, as many slices as spark.sql.shuffle.partitions says. Copies collapse in the first
-    family, so a group of copies sends one suffix per task and place.
+    A task holds the suffixes of `held_bytes` of text; then a slice of all suffixes, as many slices as
+    spark.sql.shuffle.partitions says. Copies collapse in the first family, so a group of copies sends one
+    suffix per task and place. Texts are shuffled once, by document; both joins read that shuffle.
     """
     m = matching or Matching()
-    work = isolate(docs, doc=doc_id, text=text).withColumns({
-        "_doc": F.coalesce(F.col("_doc").cast("long"), F.lit(NULL_DOC)), "_version": F.xxhash64("_text"),
-        "_text": F.coalesce("_text", F.lit("")),
-    })
-    found = repeated_spans(work, m).groupBy(F.col("_doc").alias("_of"), F.col("_version").alias("_of_version")).agg(
+    work = isolate(docs, doc=doc_id, text=text)
+    work = work.select(
+        F.coalesce(F.col("_doc").cast("long"), F.lit(NULL_DOC)).alias("_doc"), F.hash("_text").alias("_version"),
+        F.coalesce("_text", F.lit("")).alias("_text"), F.col("_doc").alias("_key"), F.col("_text").isNull().alias("_none"), "_row",
+    )
+    placed = work.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_doc", "_version")
+    found = repeated_spans(work, placed, m).groupBy("_doc", "_version").agg(
         F.collect_set(F.struct("_start", "_end")).alias("_spans")
     )
-    joined_ = work.join(found, (F.col("_doc") == F.col("_of")) & (F.col("_version") == F.col("_of_version")), "left")
     whole = F.encode("_text", "utf-8")
-    cleaned = joined_.select("_row", whole.alias("_whole"), F.sort_array("_spans").alias("_spans"))
+    # the other columns, with the id and the text as they came
+    others = F.struct(F.col("_key"), F.when(~F.col("_none"), F.col("_text")).alias("_text"), F.col("_row"))
+    cleaned = placed.join(found, ["_doc", "_version"], "left").select(
+        others.alias("_whole_row"), whole.alias("_whole"), F.sort_array("_spans").alias("_spans")
+    )
     schema = T.StructType([
-        cleaned.schema["_row"], T.StructField("_kept", T.BinaryType()), T.StructField("_n", T.LongType()), T.StructField("_k", T.LongType()),
+        cleaned.schema["_whole_row"], T.StructField("_kept", T.BinaryType()), T.StructField("_n", T.LongType()), T.StructField("_k", T.LongType()),
     ])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -503,9 +551,9 @@ def drop_repeats(
                 [batch.column(0), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=schema.names
             )
 
-    done = cleaned.mapInArrow(cut, schema)
+    done = cleaned.mapInArrow(cut, schema).select("_whole_row.*", "_kept", "_n", "_k")
     return restore(
-        done, docs.columns, kept=F.col("_kept"), n_bytes=F.col("_n"),
+        done, docs.columns, {"key": doc_id, "text": text}, kept=F.col("_kept"), n_bytes=F.col("_n"),
         n_removed=F.col("_n") - F.octet_length("_kept"), n_spans=F.col("_k"),
     )
 
