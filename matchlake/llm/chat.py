@@ -7,8 +7,8 @@ is read back is identical. Only DataFrame functions are used.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from matchlake.llm.columns import isolate
 class Grammar:
     """turn := open role middle text close; conversation := turn*.
 
-    No control string may hold the escape character. `reserved` are strings which have no place in
+    A control string has two characters at least and no escape character. `reserved` are strings which have no place in
     the grammar but which a model reads as control strings.
     """
 
@@ -32,6 +32,11 @@ class Grammar:
     escape: str = "␛"
     trained_role: str = "assistant"
 
+    def __post_init__(self) -> None:
+        strings = (*self.reserved, self.open, self.middle, self.close)
+        if len(self.escape) != 1 or any(len(s) < 2 or self.escape in s for s in strings):
+            raise ValueError("the escape is one character, control strings are longer and do not hold it")
+
     def control(self) -> str:
         """A pattern for any control string."""
         strings = {*self.reserved, self.open, self.middle, self.close}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import chat, decontaminate, fertility, line_dedup, near_copies, packing, sharding, suffixes, token_counts
+from matchlake.llm import chat, decontaminate, fertility, licenses, line_dedup, near_copies, packing, sharding, suffixes, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_jaccard_join": near_copies.op7_jaccard_join,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_license_scans": licenses.op9_license_scans,
     "op10_suffix_array_dedup": suffixes.op10_suffix_array_dedup,
 }
 
