@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # a task works on about so many bytes of text at a time; one text is never cut
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 WHITE_BYTE = np.zeros(256, dtype=bool)
 WHITE_BYTE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
