@@ -1,30 +1,18 @@
-"""Joins against dimension tables whose size is checked before they are broadcast."""
+"""Joins against dimension tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# a dimension of this many narrow rows is a few MB on each executor
-BROADCAST_ROWS = 100_000
-SALTS = 64
-
-
-def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join many rows to a dimension on `key` (left, left_semi or left_anti).
 
-    The row count of the dimension is checked first, by a job that stops at the bound. Up to
-    the bound the dimension is broadcast and the facts are not shuffled. Beyond it both sides
-    are shuffled on the key and a salt: the dimension is repeated once per salt, so the
-    facts of one hot key spread over that many tasks.
+    The join is the same at every size, and no plan is run to find the size: Spark broadcasts a dimension
+    that is below spark.sql.autoBroadcastJoinThreshold by its file sizes, or turns out to be at run time;
+    else AQE splits the partition of a hot key.
     """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return facts.join(F.broadcast(dim), key, how)
-    # the partition number spreads copies of one row; a retried task gets the same one
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns], F.spark_partition_id())
-    salted = facts.withColumn("_salt", F.pmod(spread, F.lit(SALTS)))
-    repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    return facts.join(dim, key, how)
 
 
 def orphans(facts: DataFrame, teams: DataFrame) -> DataFrame:

@@ -127,14 +127,15 @@ def _performance(tallies: DataFrame) -> DataFrame:
 
 
 def agg_team_performance(fact: DataFrame) -> DataFrame:
-    """One row per competition and team over all seasons; one shuffle of per-team partial sums."""
-    return _performance(team_sides(fact).groupBy("competition_code", "team_name").agg(*_named(_tallies())))
+    """One row per competition and team id over all seasons, under the team's latest name there."""
+    return performance_from_tallies(team_tallies(fact))
 
 
 def performance_from_tallies(tallies: DataFrame) -> DataFrame:
-    """agg_team_performance from team_tallies."""
+    """agg_team_performance from team_tallies: a renamed team's spellings fold into one row."""
     sums = [F.sum(c).alias(c) for c in _tallies()]
-    return _performance(tallies.groupBy("competition_code", "team_name").agg(*sums))
+    teams = tallies.groupBy("competition_code", "team_id").agg(F.max_by("team_name", "recency").alias("team_name"), *sums)
+    return _performance(teams)
 
 
 def _outcome_share(outcome: str) -> Column:

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from matchlake import domain
 from matchlake.functions import scalars
@@ -33,12 +34,29 @@ def stg_matches(bronze: DataFrame) -> DataFrame:
     )
 
 
+def newest_matches(bronze: DataFrame) -> DataFrame:
+    """One row per match id: the copy extracted last; of copies extracted together the later kick-off, then
+    the row that comes last by its text, so that repeats of a drop give one result.
+
+    Each task keeps one row per id before the shuffle. Rows without an id are no copies and all stay.
+    """
+    whole = F.to_json(F.struct(*[c for c in bronze.columns if c != "extracted_at"]))
+    stamp = F.col("extracted_at") if "extracted_at" in bronze.columns else F.lit(None)
+    latest = Window.partitionBy("id").orderBy(stamp.desc_nulls_last(), F.col("utcDate").desc_nulls_last(), whole.desc())
+    ranked = bronze.where(F.col("id").isNotNull()).withColumn("_nth", F.row_number().over(latest))
+    once = ranked.where(F.col("_nth") == 1).drop("_nth")
+    return once.unionByName(bronze.where(F.col("id").isNull()))
+
+
 def stg_competitions(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
+    """One row per competition code: of repeated documents the one with the largest id, then name."""
+    typed = bronze.select(
         F.col("id").cast("bigint").alias("competition_id"),
         F.col("code").alias("competition_code"),
         F.col("name").alias("competition_name"),
     )
+    newest = typed.groupBy("competition_code").agg(F.max(F.struct("competition_id", "competition_name")).alias("_newest"))
+    return newest.select("_newest.competition_id", "competition_code", "_newest.competition_name")
 
 
 def _micros(when: str) -> Column:

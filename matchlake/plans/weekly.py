@@ -39,25 +39,28 @@ def land(
 ) -> None:
     """Payload documents to landing parquet. The scope filter prunes league and season folders."""
     spark = layers.spark
-    rows = landing.raw_matches(spark, raw_matches, schema, multi_line)
+    rows = landing.raw_matches(spark, raw_matches, schema, multi_line, carried=("extracted_at",))
     wanted = shape.encode_complex(filters.scope(rows, leagues, seasons))
     # documents are read folder by folder, so a task meets few seasons and needs no shuffle
     landing_sink.write_by_season(wanted, f"{landing_path}/{MATCHES}", clustered=True)
-    competitions = landing.raw_competitions(spark, raw_competitions, multi_line=multi_line)
+    found = landing.discover_schema(spark, raw_competitions, landing.COMPETITION_ENVELOPE, multi_line)
+    competitions = shape.encode_complex(landing.raw_competitions(spark, raw_competitions, found, multi_line))
     competitions.write.mode("overwrite").parquet(f"{landing_path}/{COMPETITIONS}")
 
 
 def load_unflattened(
     layers: Layers, raw_matches: str, raw_competitions: str, seasons: Sequence[int],
-    schema: T.StructType = landing.MATCH_ENVELOPE, multi_line: bool = False,
+    schema: T.StructType | None = None, multi_line: bool = False,
 ) -> DataFrame:
-    """Payload records as they are, nested fields as JSON text, straight into raw bronze tables.
+    """Payload records with all their fields, nested fields as JSON text, straight into raw bronze tables.
 
     Matches are bounded by the competitions that landed and carry that competition's id; the
     season asked for replaces the record's own season.
     """
     spark = layers.spark
-    competitions = landing.raw_competitions(spark, raw_competitions, multi_line=multi_line, sep=None)
+    found = landing.discover_schema(spark, raw_competitions, landing.COMPETITION_ENVELOPE, multi_line)
+    competitions = landing.raw_competitions(spark, raw_competitions, found, multi_line, sep=None)
+    schema = schema or landing.discover_schema(spark, raw_matches, multi_line=multi_line)
     stored = layers.replace(shape.encode_complex(competitions), "bronze", "raw_competitions")
     rows = landing.raw_matches(spark, raw_matches, schema, multi_line, sep=None)
     wanted = rows.where(F.col("season_year").isin(*seasons))
@@ -89,7 +92,7 @@ def season_folder(season: int) -> str:
 def build_silver(layers: Layers) -> None:
     matches, competitions = layers.table("bronze", "matches"), layers.table("bronze", "competitions")
     together(
-        lambda: layers.replace(staging.stg_matches(matches), "silver", "stg_matches"),
+        lambda: layers.replace(staging.stg_matches(staging.newest_matches(matches)), "silver", "stg_matches"),
         lambda: layers.replace(staging.stg_competitions(competitions), "silver", "stg_competitions"),
     )
     layers.replace(staging.stg_teams(layers.table("silver", "stg_matches")), "silver", "stg_teams")
@@ -118,13 +121,23 @@ def build_gold(layers: Layers, run_ts: dt.datetime) -> None:
         stats = layers.replace(marts.agg_competition_stats(fact), "gold", "agg_competition_stats")
         layers.replace(marts.mart_match_overview(stats), "gold", "mart_match_overview")
 
-    together(
-        team_tables,
-        competition_tables,
-        lambda: layers.replace(marts.mart_team_form(fact), "gold", "mart_team_form"),
-        lambda: layers.replace(marts.dim_teams(layers.table("silver", "stg_teams")), "gold", "dim_teams"),
-    )
-    tallies.unpersist()
+    try:
+        together(
+            team_tables,
+            competition_tables,
+            lambda: layers.replace(marts.mart_team_form(fact), "gold", "mart_team_form"),
+            lambda: layers.replace(marts.dim_teams(layers.table("silver", "stg_teams")), "gold", "dim_teams"),
+        )
+    finally:
+        tallies.unpersist()
+
+
+def payload_defects(
+    layers: Layers, raw_matches: str, leagues: Sequence[str], seasons: Sequence[int], multi_line: bool = False
+) -> DataFrame:
+    """One row of document counts over the scoped folders; see landing.envelope_defects."""
+    documents = landing.read_envelopes(layers.spark, raw_matches, multi_line=multi_line)
+    return landing.envelope_defects(filters.scope(documents, leagues, seasons))
 
 
 def contract_tables(layers: Layers) -> dict[str, DataFrame]:
@@ -178,6 +191,9 @@ def run(
     build_gold(layers, run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
     contracts = quality.contract_report(contract_tables(layers), leagues, as_of, min_date)
-    report = quality.run_report(landed, gold_health(layers, "fact_matches"), layers.table("gold", "fact_matches"), contracts)
+    report = quality.run_report(
+        landed, gold_health(layers, "fact_matches"), layers.table("gold", "fact_matches"), contracts,
+        payload_defects(layers, raw_matches, leagues, seasons, multi_line), loaded,
+    )
     missing = quality.missing_loads(layers.table("bronze", "matches"), leagues, seasons)
     return LoadResult(loaded, missing, report)

@@ -27,8 +27,12 @@ def envelope(payloads: DataFrame, extracted_at: Column | None = None) -> DataFra
 def write_envelopes(
     payloads: DataFrame, path: str, folders: tuple[str, ...] = (), extracted_at: Column | None = None
 ) -> None:
-    """One JSON document per line, under a folder per key. Row by row: nothing is gathered."""
+    """One JSON document per line, under a folder per key. Row by row: nothing is gathered.
+
+    Only the folders in `payloads` are replaced, whatever overwrite mode the session has.
+    """
     writer = envelope(payloads, extracted_at).write.mode("overwrite").option("ignoreNullFields", "false")
+    writer = writer.option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(*folders) if folders else writer).json(path)
 
 

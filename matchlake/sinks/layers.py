@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -66,14 +67,27 @@ class Layers:
     ) -> DataFrame:
         """Write the whole table anew.
 
-        With `partition_by` the rows are rebalanced on those columns, where AQE splits hot
+        The new rows go to a table beside the old one, which gives way once they are complete: a
+        rebuild that fails leaves the old rows. A table without partitions then takes the old one's
+        name; partitions cannot be renamed, so their files are copied. With `partition_by` the rows are rebalanced on those columns, where AQE splits hot
         values. `clustered=True` says the input is read in that order anyway and saves the shuffle.
         """
         self.ensure(layer)
         if partition_by and not clustered:
             df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-        writer = df.write.format("parquet").mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(self.name(layer, table))
+        fresh = f"{table}__new_{uuid.uuid4().hex[:8]}"
+        try:
+            df.write.format("parquet").saveAsTable(self.name(layer, fresh))
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, fresh)}")
+            raise
+        if partition_by:
+            complete = self.table(layer, fresh).write.format("parquet").mode("overwrite")
+            complete.partitionBy(*partition_by).saveAsTable(self.name(layer, table))
+            self.spark.sql(f"DROP TABLE {self.name(layer, fresh)}")
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+            self.spark.sql(f"ALTER TABLE {self.name(layer, fresh)} RENAME TO {self.name(layer, table)}")
         return self.table(layer, table)
 
     def append(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -29,6 +29,11 @@ def _case(key: str, choices: dict) -> Column:
     return F.expr(f"CASE {key} {branches} END")
 
 
+def _team_name(team: str) -> Column:
+    """Every tenth club takes another name in July 1997."""
+    return F.expr(f"IF({team} % 10 = 3 AND o_orderdate >= DATE'1997-07-01', 'Club ', 'Team ') || {team}")
+
+
 def staged(orders: DataFrame, finished_only: bool = False) -> DataFrame:
     """Staged matches with their competition name.
 
@@ -52,9 +57,9 @@ def staged(orders: DataFrame, finished_only: bool = False) -> DataFrame:
         _case("league", {i: code for i, (code, _) in enumerate(_LEAGUES)}).alias("league_code"),
         _case("league", {i: name for i, (_, name) in enumerate(_LEAGUES)}).alias("competition_name"),
         F.expr("home_id AS home_team_id"),
-        F.expr("'Team ' || home_id AS home_team_name"),
+        _team_name("home_id").alias("home_team_name"),
         F.expr("away_id AS away_team_id"),
-        F.expr("'Team ' || away_id AS away_team_name"),
+        _team_name("away_id").alias("away_team_name"),
         F.expr("home AS full_time_home_score"),
         F.expr("away AS full_time_away_score"),
         F.expr("floor(home / 2) AS half_time_home_score"),

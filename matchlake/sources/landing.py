@@ -45,12 +45,10 @@ COMPETITION_ENVELOPE = _envelope("competitions", KNOWN_COMPETITION)
 def _overlay(found: T.DataType, known: T.DataType) -> T.DataType:
     """`found` with the types of `known` where both have a field; fields of either side stay."""
     if isinstance(found, T.StructType) and isinstance(known, T.StructType):
-        fixed = {f.name: f.dataType for f in known.fields}
-        fields = [
-            T.StructField(f.name, _overlay(f.dataType, fixed.pop(f.name)) if f.name in fixed else f.dataType)
-            for f in found.fields
-        ]
-        return T.StructType(fields + [T.StructField(n, t) for n, t in fixed.items()])
+        there = {f.name: f.dataType for f in found.fields}
+        # known fields first, in their order: JSON text made of them does not depend on the drop
+        fixed = [T.StructField(f.name, _overlay(there.pop(f.name), f.dataType) if f.name in there else f.dataType) for f in known.fields]
+        return T.StructType(fixed + [T.StructField(n, t) for n, t in there.items()])
     if isinstance(found, T.ArrayType) and isinstance(known, T.ArrayType):
         return T.ArrayType(_overlay(found.elementType, known.elementType))
     return known
@@ -88,13 +86,17 @@ def read_envelopes(
 
 
 def envelope_defects(envelopes: DataFrame, records: str = "matches") -> DataFrame:
-    """One row: documents read, documents that did not parse, documents without the record list."""
+    """One row: documents read, documents that did not parse, documents without the record list, and
+    documents whose record_count is not the number of their records."""
     corrupt = F.col(CORRUPT).isNotNull()
     absent = ~corrupt & F.col(f"data.{records}").isNull()
+    held = F.array_size(f"data.{records}")
+    miscounted = ~corrupt & ~absent & ~F.col("record_count").eqNullSafe(held.cast("bigint"))
     return envelopes.agg(
         F.count(F.lit(1)).alias("documents"),
         F.count_if(corrupt).alias("corrupt"),
         F.count_if(absent).alias("without_records"),
+        F.count_if(miscounted).alias("miscounted"),
         F.coalesce(F.sum("record_count"), F.lit(0)).cast("bigint").alias("records"),
     )
 
@@ -120,16 +122,17 @@ def raw_matches(
     multi_line: bool = False,
     base_path: str | None = None,
     sep: str | None = "_",
+    carried: Sequence[str] = (),
     **tags: object,
 ) -> DataFrame:
     """One row per landed match, flattened with `sep` and tagged.
 
-    Tags are the folder columns, and the constants passed as keywords for a folder of one
+    Tags are the folder columns, the document's columns named in `carried`, and the constants passed as keywords for a folder of one
     league and season. `sep=None` keeps the nested fields.
     """
     envelopes = read_envelopes(spark, paths, schema, multi_line, base_path)
     folders = {c: F.col(c) for c in envelopes.columns if c not in schema.fieldNames() and c != CORRUPT}
-    return _explode_tagged(envelopes, "matches", {**folders, **tags}, sep)
+    return _explode_tagged(envelopes, "matches", {**folders, **{c: F.col(c) for c in carried}, **tags}, sep)
 
 
 # matches_<code>_<season>.json

@@ -20,8 +20,10 @@ fact AS (
          CASE lg WHEN 0 THEN 'PL' WHEN 1 THEN 'FL1' ELSE 'PD' END AS competition_code,
          CASE lg WHEN 0 THEN 'Premier League' WHEN 1 THEN 'Ligue 1' ELSE 'La Liga' END AS competition_name,
          CASE st WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'SCHEDULED' WHEN 'P' THEN 'IN_PLAY' END AS status,
-         home_team_id, 'Team ' || home_team_id AS home_team_name,
-         away_team_id, 'Team ' || away_team_id AS away_team_name,
+         home_team_id, CASE WHEN home_team_id % 10 = 3 AND match_datetime >= DATE '1997-07-01' THEN 'Club ' ELSE 'Team ' END
+           || home_team_id AS home_team_name,
+         away_team_id, CASE WHEN away_team_id % 10 = 3 AND match_datetime >= DATE '1997-07-01' THEN 'Club ' ELSE 'Team ' END
+           || away_team_id AS away_team_name,
          hs AS fulltime_home_score, aw AS fulltime_away_score,
          CAST(floor(hs / 2.0) AS BIGINT) AS halftime_home_score, CAST(floor(aw / 2.0) AS BIGINT) AS halftime_away_score,
          CASE WHEN hs > aw THEN 'HOME_TEAM' WHEN hs < aw THEN 'AWAY_TEAM' WHEN hs = aw THEN 'DRAW' END AS winner,
@@ -74,14 +76,25 @@ sides AS (
          fulltime_away_score, fulltime_home_score, 0 FROM fact WHERE status = 'FINISHED'
 )"""
 
-PERF = SIDES + f""",
+NAMED = """,
+latest_names AS (
+  SELECT competition_code, team_id, team_name FROM (
+    SELECT competition_code, team_id, team_name,
+           ROW_NUMBER() OVER (PARTITION BY competition_code, team_id ORDER BY match_date DESC, match_id DESC) AS rn
+    FROM sides
+  ) t WHERE rn = 1
+)"""
+
+PERF = SIDES + NAMED + f""",
 perf0 AS (
-  SELECT competition_code, team_name, COUNT(*) AS total_matches,
+  SELECT competition_code, MAX(latest_name) AS team_name, COUNT(*) AS total_matches,
          {hits('gf > ga')} AS total_wins, {hits('gf = ga')} AS total_draws, {hits('gf < ga')} AS total_losses,
          {total('gf')} AS total_goals_scored, {total('ga')} AS total_goals_conceded,
          {hits('gf > ga AND at_home = 1')} AS home_wins, {hits('gf > ga AND at_home = 0')} AS away_wins,
          {hits('at_home = 1')} AS home_matches, {hits('at_home = 0')} AS away_matches
-  FROM sides GROUP BY competition_code, team_name
+  FROM (SELECT s.*, n.team_name AS latest_name FROM sides s JOIN latest_names n
+        ON s.competition_code = n.competition_code AND s.team_id = n.team_id) named
+  GROUP BY competition_code, team_id
 ),
 perf AS (
   SELECT competition_code, team_name, total_matches, total_wins, total_draws, total_losses,
@@ -104,13 +117,15 @@ comp AS (
   FROM fact WHERE status = 'FINISHED' GROUP BY match_year, competition_code, competition_name
 )"""
 
-TEAM_STATS = SIDES + f""",
+TEAM_STATS = SIDES + NAMED + f""",
 team_stats AS (
-  SELECT team_id, MAX(team_name) AS team_name, competition_code AS league_code, COUNT(*) AS total_matches,
+  SELECT team_id, MAX(latest_name) AS team_name, competition_code AS league_code, COUNT(*) AS total_matches,
          {hits('gf > ga')} AS total_wins, {hits('gf = ga')} AS total_draws, {hits('gf < ga')} AS total_losses,
          {total('CASE WHEN gf > ga THEN 3 WHEN gf = ga THEN 1 ELSE 0 END')} AS total_points,
          {pct(hits('gf > ga'), 'COUNT(*)')} AS win_rate
-  FROM sides GROUP BY team_id, competition_code
+  FROM (SELECT s.*, n.team_name AS latest_name FROM sides s JOIN latest_names n
+        ON s.competition_code = n.competition_code AND s.team_id = n.team_id) named
+  GROUP BY team_id, competition_code
 )"""
 
 TEAMS = FACT + """,
@@ -213,6 +228,7 @@ add(
       FROM bronze GROUP BY competition_code, season_year, id // 1000""",
     snk_parquet_by_season="SELECT id, \"utcDate\", status, competition_code, season_year FROM bronze",
     load_unflattened=f"""SELECT match_id AS id, {UTC} AS "utcDate", status,
+      '{{"code":"' || competition_code || '","name":"' || competition_name || '"}}' AS competition, {REFEREES} AS referees,
       '{{"id":' || home_team_id || ',"name":"' || home_team_name || '"}}' AS "homeTeam",
       '{{"id":' || away_team_id || ',"name":"' || away_team_name || '"}}' AS "awayTeam", {SCORE} AS score,
       CAST(match_year AS INTEGER) AS season,
@@ -228,7 +244,7 @@ add(
       UNION ALL SELECT id, CAST(NULL AS VARCHAR), season_year FROM bronze""",
     snk_load_seasons="""SELECT CAST(s.y AS INTEGER) AS season_year, COUNT(b.id) AS rows_loaded,
       COUNT(b.id) AS rows_stored, COUNT(b.id) = 0 AS failed
-      FROM (SELECT unnest(range(1994, 2004)) AS y) s LEFT JOIN bronze b ON b.season_year = s.y GROUP BY s.y""",
+      FROM (SELECT unnest(range(lo, hi)) AS y FROM (SELECT MIN(season_year) - 1 AS lo, MAX(season_year) + 2 AS hi FROM bronze) r) s LEFT JOIN bronze b ON b.season_year = s.y GROUP BY s.y""",
     snk_layer_schema="""SELECT l.layer, 'matches' AS table_name, COUNT(*) AS row_count
       FROM (VALUES ('bronze'), ('silver'), ('gold')) l(layer), bronze GROUP BY l.layer""",
     snk_model_table="SELECT *, TIMESTAMP '2025-01-06 04:30:00' AS loaded_at FROM fact",
@@ -256,6 +272,7 @@ add(
     prj_json_encode=f"""SELECT match_id AS id, {UTC} AS "utcDate", status,
       '{{"code":"' || competition_code || '","name":"' || competition_name || '"}}' AS competition,
       '{{"startYear":' || match_year || '}}' AS season,
+      '{{"code":"' || competition_code || '","name":"' || competition_name || '"}}' AS competition, {REFEREES} AS referees,
       '{{"id":' || home_team_id || ',"name":"' || home_team_name || '"}}' AS "homeTeam",
       '{{"id":' || away_team_id || ',"name":"' || away_team_name || '"}}' AS "awayTeam",
       {SCORE} AS score, {REFEREES} AS referees FROM fact""",
@@ -504,11 +521,11 @@ add(
         check("nonempty", "scores", "*", "(SELECT CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END FROM fact)", "warn"),
     ),
     dq_missing_loads="""SELECT c.code AS competition_code, CAST(s.y AS INTEGER) AS season_year
-      FROM (VALUES ('PL'), ('FL1'), ('PD'), ('BL1')) c(code), (SELECT unnest(range(1994, 2004)) AS y) s
+      FROM (VALUES ('PL'), ('FL1'), ('PD'), ('BL1')) c(code), (SELECT unnest(range(lo, hi)) AS y FROM (SELECT MIN(season_year) - 1 AS lo, MAX(season_year) + 2 AS hi FROM bronze) r) s
       WHERE NOT EXISTS (SELECT 1 FROM bronze b WHERE b.competition_code = c.code AND b.season_year = s.y)""",
     dq_landing_files="""SELECT 'all_matches/season_year=' || s.y AS dataset,
       CASE WHEN COUNT(b.id) > 0 THEN 'OK' ELSE 'MISSING' END AS status, COUNT(b.id) AS row_count
-      FROM (SELECT unnest(range(1994, 2004)) AS y) s LEFT JOIN bronze b ON b.season_year = s.y GROUP BY s.y
+      FROM (SELECT unnest(range(lo, hi)) AS y FROM (SELECT MIN(season_year) - 1 AS lo, MAX(season_year) + 2 AS hi FROM bronze) r) s LEFT JOIN bronze b ON b.season_year = s.y GROUP BY s.y
       UNION ALL SELECT 'competitions', 'OK', COUNT(DISTINCT competition_code) FROM bronze""",
 )
 add(
@@ -519,7 +536,7 @@ add(
 
 EVERYTHING = ",".join([
     STAGED, *(part.removeprefix(FACT + ",") for part in (PERF, COMP, TEAMS)),
-    TEAM_STATS.removeprefix(SIDES + ","), LEAGUES.removeprefix(M1 + ","),
+    TEAM_STATS.removeprefix(SIDES + NAMED + ","), LEAGUES.removeprefix(M1 + ","),
 ]) + """,
 stg_comp AS (SELECT id AS competition_id, code AS competition_code, name AS competition_name FROM leagues),
 standings AS (SELECT competition_code AS league_code, team_name, 1 AS team_rank FROM perf)"""
@@ -560,7 +577,12 @@ CONTRACTS = union(
 REPORT = f""",
 health AS ({HEALTH}),
 contracts AS ({CONTRACTS})
-SELECT 'landing' AS section, 'all_matches/season_year=' || season_year AS item, 'OK' AS measure,
+SELECT 'payload' AS section, 'matches' AS item, d.measure,
+  CAST(CASE d.measure WHEN 'documents' THEN (SELECT COUNT(*) FROM (
+    SELECT DISTINCT competition_code, season_year, id // 1000 FROM bronze) pages) ELSE 0 END AS VARCHAR) AS value
+  FROM (VALUES ('documents'), ('corrupt'), ('without_records'), ('miscounted')) d(measure)
+UNION ALL SELECT 'load', CAST(season_year AS VARCHAR), 'rows_loaded', CAST(COUNT(*) AS VARCHAR) FROM bronze GROUP BY season_year
+UNION ALL SELECT 'landing' AS section, 'all_matches/season_year=' || season_year AS item, 'OK' AS measure,
   CAST(COUNT(*) AS VARCHAR) AS value FROM bronze GROUP BY season_year
 UNION ALL SELECT 'landing', 'competitions', 'OK', CAST(COUNT(*) AS VARCHAR) FROM leagues
 UNION ALL SELECT 'table', table_name, 'row_count', CAST(row_count AS VARCHAR) FROM health
@@ -574,4 +596,10 @@ UNION ALL SELECT 'test', table_name || '.' || column_name, severity || ':' || "c
   FROM contracts"""
 
 add(EVERYTHING, dq_gold_tables=HEALTH)
+ORACLE["dq_payload_defects"] = """SELECT COUNT(*) AS documents,
+  COUNT(*) FILTER (WHERE o_orderkey % 7 = 0) AS corrupt,
+  COUNT(*) FILTER (WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0) AS without_records,
+  COUNT(*) FILTER (WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 13 = 0) AS miscounted,
+  CAST(SUM(CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 0 WHEN o_orderkey % 13 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS records
+  FROM orders"""
 ORACLE["dq_report"] = f"WITH {EVERYTHING.strip()}{REPORT}"

@@ -24,9 +24,6 @@ QUERIES: dict[str, Query] = {}
 TEAM, CODE, NAME, LABEL, YEAR = "Team 7", "PL", "La Liga", "FL1 - Ligue 1", 1997
 RUN_TS = dt.datetime(2025, 1, 6, 4, 30)
 AS_OF, MIN_DATE = dt.date(2000, 12, 1), "1996-01-01"
-# every season of the derived matches, and a range with seasons that have none
-SEASONS = tuple(range(1995, 2002))
-ASKED_SEASONS = tuple(range(1994, 2004))
 
 
 def query(fn: Query) -> Query:
@@ -44,6 +41,12 @@ def orders(spark: SparkSession, sf: str) -> DataFrame:
     return derived.table(spark, sf, "orders")
 
 
+def seasons(spark: SparkSession, sf: str, margin: int = 0) -> range:
+    """The years of the derived matches, and `margin` years without any on both sides."""
+    first, last = orders(spark, sf).agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    return range(first - margin, last + margin + 1)
+
+
 def fact(spark: SparkSession, sf: str, finished_only: bool = False) -> DataFrame:
     return derived.fact(orders(spark, sf), finished_only=finished_only)
 
@@ -187,6 +190,9 @@ def snk_raw_envelope(spark: SparkSession, sf: str) -> DataFrame:
     path = new_scratch(spark, "envelope")
     payloads = derived.match_payloads(orders(spark, sf)).drop("page")
     landing_sink.write_envelopes(payloads, path, ("competition_code", "season_year"), scalars.wall_clock(RUN_TS))
+    # writing one league and season again must leave the others
+    again = payloads.where((F.col("competition_code") == CODE) & (F.col("season_year") == YEAR))
+    landing_sink.write_envelopes(again, path, ("competition_code", "season_year"), scalars.wall_clock(RUN_TS))
     documents = landing.read_envelopes(spark, path)
     return documents.select(
         "competition_code", "season_year", "extracted_at", "record_count",
@@ -226,7 +232,7 @@ def snk_load_seasons(spark: SparkSession, sf: str) -> DataFrame:
     def read_season(season: int) -> DataFrame:
         return landing.read_parquet(spark, f"{root}/{weekly.season_folder(season)}")
 
-    outcome = load_seasons(layers, read_season, ASKED_SEASONS)
+    outcome = load_seasons(layers, read_season, seasons(spark, sf, 1))
     stored = layers.table("bronze", "matches").groupBy("season_year").agg(F.count(F.lit(1)).alias("rows_stored"))
     return outcome.join(stored, "season_year", "left").select(
         "season_year", "rows_loaded", F.coalesce("rows_stored", F.lit(0)).alias("rows_stored"),
@@ -261,7 +267,7 @@ def load_unflattened(spark: SparkSession, sf: str) -> DataFrame:
     payloads = found.select(F.struct(F.array(F.struct("id", "code", "name")).alias("competitions")).alias("payload"))
     landing_sink.write_envelopes(payloads, path, (), scalars.wall_clock(RUN_TS))
     layers = fresh_layers(spark, "unflattened")
-    return weekly.load_unflattened(layers, raw_match_folder(spark, sf), path, SEASONS)
+    return weekly.load_unflattened(layers, raw_match_folder(spark, sf), path, seasons(spark, sf))
 
 
 @query
@@ -380,8 +386,8 @@ register(
 
 @query
 def flt_nonempty(spark: SparkSession, sf: str) -> DataFrame:
-    seasons = {s: filters.season(src_parquet(spark, sf), s) for s in ASKED_SEASONS}
-    return catalog.row_counts({str(s): df for s, df in filters.nonempty(seasons).items()})
+    frames = {s: filters.season(src_parquet(spark, sf), s) for s in seasons(spark, sf, 1)}
+    return catalog.row_counts({str(s): df for s, df in filters.nonempty(frames).items()})
 
 
 # -- models, joins and windows --------------------------------------------------------------
@@ -453,7 +459,7 @@ def set_concat(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def set_extend(spark: SparkSession, sf: str) -> DataFrame:
     root = raw_match_folder(spark, sf)
-    paths = [f"{root}/competition_code={c}" for c in ("PL", "FL1", "PD")]
+    paths = [f"{root}/competition_code={r.code}" for r in derived.competitions(orders(spark, sf)).collect()]
     return landing.raw_matches(spark, paths, base_path=root).select("id", "utcDate", "competition_code", "season_year")
 
 
@@ -487,10 +493,10 @@ register(
     dq_no_duplicates=lambda spark, sf: quality.no_duplicates(fact(spark, sf), "fact_matches", "match_id"),
     dq_ref_integrity=lambda spark, sf: quality.referential_integrity(fact(spark, sf), partial_teams(spark, sf)),
     dq_missing_loads=lambda spark, sf: quality.missing_loads(
-        bronze(spark, sf), ("PL", "FL1", "PD", "BL1"), ASKED_SEASONS
+        bronze(spark, sf), ("PL", "FL1", "PD", "BL1"), seasons(spark, sf, 1)
     ),
     dq_landing_files=lambda spark, sf: quality.landing_status(
-        spark, landing_folder(spark, sf), [*map(weekly.season_folder, ASKED_SEASONS), weekly.COMPETITIONS]
+        spark, landing_folder(spark, sf), [*map(weekly.season_folder, seasons(spark, sf, 1)), weekly.COMPETITIONS]
     ),
 )
 
@@ -501,11 +507,21 @@ def dq_nonempty_allnull(spark: SparkSession, sf: str) -> DataFrame:
     return quality.row_checks(scores, "scores", [quality.all_null_rows(scores)], nonempty=True)
 
 
+@query
+def dq_payload_defects(spark: SparkSession, sf: str) -> DataFrame:
+    """A drop of one document per match, some cut short, some without a list, some with a wrong count."""
+    key, path = F.col("o_orderkey"), new_scratch(spark, "defects")
+    whole = F.format_string('{"extracted_at":"x","data":{"matches":[{"id":%d}]},"record_count":%d}', key, F.when(key % 13 == 0, 2).otherwise(1))
+    text = F.when(key % 7 == 0, F.substring(whole, 1, 30)).when(key % 11 == 0, '{"extracted_at":"x","data":{},"record_count":0}').otherwise(whole)
+    orders(spark, sf).select(text.alias("value")).write.text(path)
+    return landing.envelope_defects(landing.read_envelopes(spark, path))
+
+
 def _weekly(spark: SparkSession, sf: str, label: str) -> tuple[Layers, weekly.LoadResult]:
     layers = fresh_layers(spark, label)
     result = weekly.run(
         layers, raw_match_folder(spark, sf), raw_competition_folder(spark, sf), new_scratch(spark, f"{label}-landing"),
-        seasons=SEASONS, run_ts=RUN_TS, as_of=AS_OF, min_date=MIN_DATE,
+        seasons=seasons(spark, sf), run_ts=RUN_TS, as_of=AS_OF, min_date=MIN_DATE,
     )
     return layers, result
 

@@ -149,3 +149,27 @@ def test_weekly_run_stops_when_a_season_did_not_land(layers, put_json, tmp_path)
 def test_missing_loads(spark, rows):
     loaded = spark.createDataFrame([("PL", 2023), ("PL", 2023), ("PD", 2024)], "competition_code string, season_year int")
     assert rows(quality.missing_loads(loaded, ("PL", "PD"), (2023, 2024))) == [("PD", 2023), ("PL", 2024)]
+
+
+def test_a_rebuild_that_fails_leaves_the_old_table(spark, layers, rows):
+    from pyspark.sql import functions as F
+
+    layers.replace(spark.createDataFrame([(1, "a"), (2, "b")], COLS), "gold", "m")
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+    for partitions in ((), ("id",)):
+        with pytest.raises(Exception, match="no"):
+            layers.replace(bad, "gold", "m", partitions)
+        assert rows(layers.table("gold", "m")) == [(1, "a"), (2, "b")]
+    assert {t.name for t in spark.catalog.listTables(layers.database("gold"))} == {"m"}
+
+
+def test_one_row_per_match_and_competition(spark, rows):
+    from matchlake.plans import staging
+
+    bronze = spark.createDataFrame(
+        [(1, "2024", "t", 1), (1, "2023", "t", 9), (1, None, "t", 9), (2, "2023", "t", 2), (2, "2023", "u", 3), (2, "2023", "u", 3), (None, "x", "t", 0)],
+        "id bigint, extracted_at string, utcDate string, goals int",
+    )
+    assert rows(staging.newest_matches(bronze).select("id", "goals")) == [(1, 1), (2, 3), (None, 0)]
+    codes = spark.createDataFrame([(1, "PL", "a"), (1, "PL", "a"), (2, "PD", "b")], "id bigint, code string, name string")
+    assert rows(staging.stg_competitions(codes)) == [(1, "PL", "a"), (2, "PD", "b")]

@@ -153,16 +153,22 @@ def test_staging_filters_status_and_labels(spark, rows):
 
 
 @pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
-def test_lookup_is_the_same_beyond_the_broadcast_bound(spark, rows, how):
-    # one hot key, copies of one row, a key the dimension lacks, and NULL
+def test_lookup_is_the_same_with_and_without_broadcast(spark, rows, how):
+    # one hot key, copies of one row, a key the dimension lacks, NULL, and columns that do not hash
     facts = spark.createDataFrame(
         [("hot", 1)] * 50 + [("hot", i) for i in range(50)] + [("b", 1), ("none", 2), (None, 3)], "k string, v int"
-    )
+    ).withColumns({"m": F.create_map(F.lit("a"), "v"), "j": F.expr("parse_json('{}')")})
     dim = spark.createDataFrame([("hot", "H"), ("b", "B"), ("c", "C")], "k string, name string")
-    small, large = joins.lookup(facts, dim, "k", how), joins.lookup(facts, dim, "k", how, max_rows=2)
-    assert small.columns == large.columns
-    assert rows(small) == rows(large)
-    assert rows(small) == rows(facts.join(dim, "k", how))
+    small = joins.lookup(facts, dim, "k", how)
+    got = rows(small.drop("m", "j"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = joins.lookup(facts, dim, "k", how)
+        assert small.columns == large.columns
+        assert got == rows(large.drop("m", "j"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_orphans(spark, fact, rows):
