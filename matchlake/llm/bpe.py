@@ -56,25 +56,19 @@ class Merges:
             found[other] = self.keys[entry[other]] == keys[other]
         return np.where(found & (entry >= 0), self.ranks[entry], NO_RANK)
 
-    def symbols(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The starting symbols of byte strings, none of them empty, and each one's length."""
-        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        flat = self.byte_id[data]
-        last = np.cumsum(lengths) - 1
-        flat[last] = self.last_byte_id[data[last]]
-        return flat, lengths
-
-    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, lengths) after all merges.
+    def merge(self, data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) after all merges of byte strings, which come joined; none of them is empty.
 
         In each round every sequence applies its lowest-ranked pair, at all places, from the left.
         Sequences without a pair to merge leave the arrays.
         """
-        if not pieces:
+        if not len(lengths):
             return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
-        symbol, lengths = self.symbols(pieces)
-        owner = np.repeat(np.arange(len(pieces), dtype=np.int64), lengths)
+        data = np.frombuffer(data, dtype=np.uint8)
+        symbol = self.byte_id[data]
+        last = np.cumsum(lengths) - 1
+        symbol[last] = self.last_byte_id[data[last]]
+        owner = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
         rank = np.full(len(symbol), NO_RANK, dtype=np.int32)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         rank[inner] = self.rank(symbol[inner], symbol[inner + 1])
@@ -101,14 +95,21 @@ class Merges:
             stay[at + 1] = False
             at -= np.arange(len(at))
             symbol, owner, rank = symbol[stay], owner[stay], rank[stay]
-            touched = np.unique(np.r_[at, at[at > 0] - 1])
+            beside = np.zeros(len(symbol), dtype=bool)
+            beside[at] = True
+            beside[np.maximum(at, 1) - 1] = True
+            touched = np.flatnonzero(beside)
             rank[touched] = NO_RANK
             touched = touched[touched + 1 < len(symbol)]
             touched = touched[owner[touched] == owner[touched + 1]]
             rank[touched] = self.rank(symbol[touched], symbol[touched + 1])
         symbol = np.concatenate([s for s, _ in done])
         owner = np.concatenate([o for _, o in done])
-        return symbol[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(pieces))
+        return symbol[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(lengths))
+
+
+def byte_length(piece: str) -> int:
+    return len(piece) if piece.isascii() else len(piece.encode())
 
 
 @cache

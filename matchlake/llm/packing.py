@@ -86,8 +86,8 @@ def best_cuts(position: np.ndarray, penalty: np.ndarray, limit: int) -> np.ndarr
 class Stream:
     """One task's documents, packed as they come."""
 
-    def __init__(self, path: str, p: Packing) -> None:
-        self.words, self.p = word_ids(path), p
+    def __init__(self, path: str, p: Packing, with_ids: bool) -> None:
+        self.words, self.p, self.with_ids = word_ids(path), p, with_ids
         self.sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
         self.ids: list[np.ndarray] = []
         # number of ids, ids before them in their document, row number, ids of the document
@@ -128,12 +128,15 @@ class Stream:
         data = ids.astype("<u4").tobytes()
         crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         keys = [self.keys[k] for k in parts[of, 2].tolist()]
-        batch = pa.RecordBatch.from_arrays([
+        columns = [
             pa.array(keys, pa.int64()),
             pa.array(start), pa.array(ends - starts), pa.array(crc, pa.int64()), pa.array(parts[of, 3]),
             pa.array(self.sequence + window), pa.array(starts - cuts[window]),
-            pa.ListArray.from_arrays(pa.array(np.r_[starts, stop].astype(np.int32)), pa.array(ids[:stop].astype(np.int32))),
-        ], names=[f.name for f in PIECES])
+        ]
+        if self.with_ids:
+            bounds = pa.array(np.r_[starts, stop].astype(np.int32))
+            columns.append(pa.ListArray.from_arrays(bounds, pa.array(ids[:stop].astype(np.int32))))
+        batch = pa.RecordBatch.from_arrays(columns, names=PIECES.names[: len(columns)])
         self.sequence += len(cuts) - 1
         left = np.flatnonzero(part_ends > stop)
         cut_off = np.maximum(stop - part_starts[left], 0)
@@ -157,10 +160,11 @@ PIECES = T.StructType([
 
 
 def pack_documents(
-    docs: DataFrame, path: str, packing: Packing | None = None, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, path: str, packing: Packing | None = None, with_ids: bool = True,
+    doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """One row per piece of a document in a sequence: doc_id (long), start, length, ids_crc32,
-    doc_tokens, sequence_id, offset, ids.
+    doc_tokens, sequence_id, offset and, unless `with_ids` is false, ids.
 
     - A document is its ids and the end id, so a null or empty text is one id.
     - Null and repeated doc_ids and repeated rows are packed like any other row. Columns other than
@@ -173,7 +177,7 @@ def pack_documents(
     p = packing or Packing()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = Stream(path, p)
+        stream = Stream(path, p, with_ids)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             step = max(1, len(texts) * CHUNK_BYTES // max(1, texts.nbytes))
@@ -185,11 +189,11 @@ def pack_documents(
 
     return docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
-    ).mapInArrow(pack, PIECES)
+    ).mapInArrow(pack, PIECES if with_ids else T.StructType(PIECES.fields[:-1]))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -12,15 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.bpe import merges
+from matchlake.llm.bpe import byte_length, merges
 from matchlake.llm.ragged import CHUNK_BYTES
 
-# the split rule of byte-level vocabularies, a fixed value
+# the split rule of byte-level vocabularies, a fixed value, and the mark that stands between texts here
 PRE_TOKEN = regex.compile(
-    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\0]+|\s+(?!\S)|\s+|\0"""
 )
 # for these characters the class tables of both regular-expression libraries agree
-KNOWN = regex.compile(r"[\t-\r -~¡-ɏ]*")
+KNOWN = re.compile(r"[\0\t-\r -~¡-ɏ]*")
 # distinct words that a worker remembers before it starts anew
 REMEMBERED = 600_000
 # in place of a word's count: its text is not cut into words
@@ -51,19 +52,35 @@ class TokenCounter:
         self.special_mark = [s[:2] for s in special]
         self.known: dict[str, int] = {}
 
-    def pre_tokens(self, text: str) -> list[bytes]:
-        if KNOWN.fullmatch(text):
-            return [p.encode() for p in PRE_TOKEN.findall(text)]
+    def pre_tokens(self, text: str) -> list[str]:
         spans = library(self.path).pre_tokenizer.pre_tokenize_str(text)
-        return [text[a:b].encode() for a, b in merged_spans([s for _, s in spans])]
+        return [text[a:b] for _, (a, b) in spans]
 
     def counts(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text, none of which holds a special string: merged anew, nothing remembered."""
-        pieces = [self.pre_tokens(t) for t in texts]
-        _, sizes = self.bpe.merge([p for ps in pieces for p in ps])
-        first = np.r_[0, np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))]
-        sums = np.r_[0, np.cumsum(sizes)]
-        return sums[first[1:]] - sums[first[:-1]]
+        if not texts:
+            return np.zeros(0, dtype=np.int64)
+        whole = "\0".join(texts)
+        if KNOWN.fullmatch(whole) and not any(t[-1:].isspace() for t in texts):
+            # all texts are split at once; what stands between them is no part of any rule
+            pieces = PRE_TOKEN.findall(whole)
+            pieces.append("\0")
+        else:
+            pieces = [p for t in texts for p in ([*PRE_TOKEN.findall(t), "\0"] if KNOWN.fullmatch(t) and "\0" not in t else [*self.pre_tokens(t), "\0"])]
+        mark = np.fromiter((p == "\0" for p in pieces), dtype=bool, count=len(pieces))
+        if mark.sum() != len(texts):
+            return np.concatenate([self.counts([t]) for t in texts]) if len(texts) > 1 else self.alone(texts[0])
+        inner = [p for p in pieces if p != "\0"]
+        _, sizes = self.bpe.merge("".join(inner).encode(), np.fromiter(map(byte_length, inner), np.int64, len(inner)))
+        each = np.zeros(len(pieces), dtype=np.int64)
+        each[~mark] = sizes
+        return np.diff(np.cumsum(each)[mark], prepend=0)
+
+    def alone(self, text: str) -> np.ndarray:
+        """A text that holds the mark itself."""
+        pieces = self.pre_tokens(text)
+        _, sizes = self.bpe.merge("".join(pieces).encode(), np.fromiter(map(byte_length, pieces), np.int64, len(pieces)))
+        return sizes.sum(keepdims=True)
 
     def learn(self, words: list[str]) -> None:
         unknown = list(set(words) - self.known.keys())
@@ -104,11 +121,6 @@ class TokenCounter:
         return totals
 
 
-def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Pieces of one character (a character of several bytes is never split over pre-tokens)."""
-    return [s for s in spans if s[0] < s[1]]
-
-
 @cache
 def counter(path: str) -> TokenCounter:
     return TokenCounter(path)
