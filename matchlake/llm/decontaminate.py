@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -62,12 +63,15 @@ def _capital(data: np.ndarray) -> np.ndarray:
     return found | two
 
 
-def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def tokens(
+    data: np.ndarray, offsets: np.ndarray, quoted: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(template hash, value hash, type, first token of each text) for the tokens of a run of texts.
 
     A token is a word without its punctuation, in lower case; a word of punctuation only is none. A decimal
     point stays. Digits without letters are a number; a word of UNITS behind a number is a unit; a
     capitalised word that begins neither a sentence nor a line is a name. Digits run into letters are literal.
+    `quoted` texts are read as they look inside another sentence: their first word may be a name.
     """
     starts, ends, _ = ragged.words(data, offsets)
     digit, letter, capital = _DIGIT[data], _LETTER[data], _capital(data)
@@ -85,6 +89,8 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     opens[1:] = (
         (text[1:] != text[:-1]) | _SENTENCE_END[data[ends[:-1] - 1]] | (breaks_before[starts[1:]] > breaks_before[ends[:-1]])
     )
+    if quoted:
+        opens &= np.r_[False, text[1:] == text[:-1]] if len(text) else opens
     a, b = kept_before[starts], kept_before[ends]
     real = b > a
     a, b, text, opens = a[real], b[real], text[real], opens[real]
@@ -108,11 +114,13 @@ def unit_hashes() -> np.ndarray:
     return ragged.SliceHash(data)(np.r_[0, ends[:-1]], ends)
 
 
-def template_windows(work: DataFrame, t: Templates, bits: np.ndarray | None = None) -> DataFrame:
+def template_windows(
+    work: DataFrame, t: Templates, bits: np.ndarray | None = None, readings: tuple[bool, ...] = (False,)
+) -> DataFrame:
     """_doc, _version, _at, _hash, _slots, _tokens for each window of the texts in `work`.
 
     _slots has a value hash for each token, 0 for a literal; _tokens is the text's number of tokens.
-    With `bits` only windows that the bit map holds come out.
+    With `bits` only windows that the bit map holds come out. `readings` are the values of `quoted` to use.
     """
     schema = T.StructType([
         work.schema["_doc"], T.StructField("_version", T.LongType()), T.StructField("_at", T.IntegerType()),
@@ -123,8 +131,8 @@ def template_windows(work: DataFrame, t: Templates, bits: np.ndarray | None = No
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in ragged.chunks(batch, "_text"):
-                template, value, kind, first = tokens(data, offsets)
+            for (rows, data, offsets), quoted in product(ragged.chunks(batch, "_text"), readings):
+                template, value, kind, first = tokens(data, offsets, quoted)
                 hashes, at = ragged.windows(template, first, t.window)
                 literal = np.r_[0, np.cumsum(kind == LITERAL)]
                 enough = literal[at + t.window] - literal[at] >= t.literals
@@ -180,7 +188,8 @@ def leaks(
     """
     t = templates or Templates()
     items = isolate(benchmark, doc=item_id, text=item_text).withColumn("_version", F.xxhash64("_text"))
-    asked = settle(template_windows(items, t))
+    # a document may quote an item inside a sentence
+    asked = settle(template_windows(items, t, readings=(False, True)))
     work = isolate(docs, doc=doc_id, text=text).withColumn("_version", F.xxhash64("_text"))
     seen = template_windows(work, t, bit_map(asked, t))
     asked = asked.select(

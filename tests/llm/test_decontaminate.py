@@ -30,6 +30,12 @@ def test_contradictory_values_are_not_the_question(spark, docs):
     assert set(got) == {(2, 0)}
 
 
+def test_an_item_inside_a_sentence(spark, docs):
+    item = "Seven small boats left that quiet harbour before noon."
+    text = "he said that Seven small boats left that quiet harbour before noon. " + OTHER
+    assert found(spark, docs, [(1, text), (2, item)], [(3, item)]).keys() == {(1, 3), (2, 3)}
+
+
 def test_units_and_names(spark, docs):
     item = "the runner covered a distance of 10 km in the park near old Berlin while the other one rested at home."
     text = "the runner covered a distance of 6 miles in the park near old Paris while the other one rested at home."
