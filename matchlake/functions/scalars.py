@@ -84,7 +84,3 @@ def ratio(part: Column, whole: Column) -> Column:
 def percentage(part: Column, whole: Column) -> Column:
     """0-100 scale, two places."""
     return F.round(F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double")), 2)
-
-
-def date_too_early_or_late(ts: Column, as_of: Column, min_date: Column, max_days_ahead: int) -> Column:
-    return (ts > F.date_add(as_of, max_days_ahead).cast("timestamp_ntz")) | (ts < min_date.cast("timestamp_ntz"))

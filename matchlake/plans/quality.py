@@ -271,6 +271,9 @@ def fact_report(fact: DataFrame) -> DataFrame:
     )
 
 
+PAYLOAD_COUNTS = ("documents", "corrupt", "without_records", "miscounted")
+
+
 def run_report(
     landing: DataFrame, health: DataFrame, fact: DataFrame, contracts: DataFrame, payloads: DataFrame, loads: DataFrame
 ) -> DataFrame:
@@ -279,9 +282,8 @@ def run_report(
     `health` covers the gold tables other than the fact, `payloads` counts documents and their
     defects, `loads` has the rows or the failure of each season.
     """
-    counts = ("documents", "corrupt", "without_records", "miscounted")
     parts = [
-        _entries(payloads, *[("payload", "'matches'", _text(c), c) for c in counts]),
+        _entries(payloads, *[("payload", "'matches'", _text(c), c) for c in PAYLOAD_COUNTS]),
         _entries(loads, ("load", "CAST(season_year AS string)", "IF(error IS NULL, 'rows_loaded', 'failed')", "coalesce(error, CAST(rows_loaded AS string))")),
         _entries(landing, ("landing", "dataset", "status", "row_count")),
         _entries(health, *[("table", "table_name", f"'{m}'", m) for m in ("row_count", "unique_keys", "status")]),

@@ -78,11 +78,21 @@ def load_directory(layers: Layers, root: str) -> DataFrame:
 
 
 def append_tables(layers: Layers, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Add frames to bronze tables, lists and other JSON text typed as VARIANT. A second run adds the rows again."""
-    return {
-        name: layers.append(shape.promote_json(shape.encode_complex(df)), "bronze", name)
-        for name, df in frames.items()
-    }
+    """Add frames to bronze tables, lists and other JSON text typed as VARIANT. A second run adds the rows again.
+
+    A column that the table has keeps the table's type; only new columns are looked at.
+    """
+    def typed(name: str, df: DataFrame) -> DataFrame:
+        text = shape.encode_complex(df)
+        if not layers.exists("bronze", name):
+            return shape.promote_json(text)
+        stored = {f.name: f.dataType for f in layers.table("bronze", name).schema.fields}
+        new = shape.json_columns(text.select(*[F.col(shape.quoted(c)) for c in text.columns if c not in stored]))
+        strings = {f.name for f in text.schema.fields if isinstance(f.dataType, T.StringType)}
+        kept = [c for c in text.columns if c in strings and isinstance(stored.get(c), T.VariantType)]
+        return shape.promote_json(text, [*kept, *new])
+
+    return {name: layers.append(typed(name, df), "bronze", name) for name, df in frames.items()}
 
 
 def season_folder(season: int) -> str:
@@ -132,12 +142,16 @@ def build_gold(layers: Layers, run_ts: dt.datetime) -> None:
         tallies.unpersist()
 
 
-def payload_defects(
+def deliveries(
     layers: Layers, raw_matches: str, leagues: Sequence[str], seasons: Sequence[int], multi_line: bool = False
 ) -> DataFrame:
-    """One row of document counts over the scoped folders; see landing.envelope_defects."""
-    documents = landing.read_envelopes(layers.spark, raw_matches, multi_line=multi_line)
-    return landing.envelope_defects(filters.scope(documents, leagues, seasons))
+    """Document counts of this drop by league and season, as landing.envelope_defects names them, and records held.
+
+    One pass over the scoped folders; at most a row per league and season asked for comes to the driver.
+    """
+    documents = filters.scope(landing.read_envelopes(layers.spark, raw_matches, multi_line=multi_line), leagues, seasons)
+    counted = landing.envelope_defects(documents, by=("competition_code", "season_year"))
+    return layers.spark.createDataFrame(counted.collect(), counted.schema)
 
 
 def contract_tables(layers: Layers) -> dict[str, DataFrame]:
@@ -180,11 +194,17 @@ def run(
     required = [*map(season_folder, seasons), COMPETITIONS]
     landed = quality.landing_status(spark, landing_path, required, footers_only=True)
     quality.require_landing(landed)
+    # folders of earlier drops are still there; what counts as delivered is what this drop holds
+    delivered = deliveries(layers, raw_matches, leagues, seasons, multi_line)
+    held = delivered.where(F.col("held") > 0)
+    arrived = {r.season_year for r in held.select("season_year").distinct().collect()}
 
     def read_season(season: int) -> DataFrame:
         return landing.read_parquet(spark, f"{landing_path}/{season_folder(season)}", merge_schema=True)
 
-    loaded = load_seasons(layers, read_season, seasons)
+    loaded = load_seasons(layers, read_season, [s for s in seasons if s in arrived])
+    absent = [(int(s), 0, "not delivered") for s in seasons if s not in arrived]
+    loaded = loaded.unionAll(spark.createDataFrame(absent, loaded.schema))
     competitions = landing.read_parquet(spark, f"{landing_path}/{COMPETITIONS}")
     layers.replace(competitions, "bronze", "competitions")
     build_silver(layers)
@@ -193,7 +213,7 @@ def run(
     contracts = quality.contract_report(contract_tables(layers), leagues, as_of, min_date)
     report = quality.run_report(
         landed, gold_health(layers, "fact_matches"), layers.table("gold", "fact_matches"), contracts,
-        payload_defects(layers, raw_matches, leagues, seasons, multi_line), loaded,
+        delivered.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in quality.PAYLOAD_COUNTS]), loaded,
     )
-    missing = quality.missing_loads(layers.table("bronze", "matches"), leagues, seasons)
+    missing = quality.missing_loads(held, leagues, seasons)
     return LoadResult(loaded, missing, report)

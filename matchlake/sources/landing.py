@@ -85,19 +85,20 @@ def read_envelopes(
     return reader.schema(with_corrupt).json(paths)
 
 
-def envelope_defects(envelopes: DataFrame, records: str = "matches") -> DataFrame:
-    """One row: documents read, documents that did not parse, documents without the record list, and
-    documents whose record_count is not the number of their records."""
+def envelope_defects(envelopes: DataFrame, records: str = "matches", by: Sequence[str] = ()) -> DataFrame:
+    """One row, or one for each value of the columns `by`: documents read, documents that did not parse, documents without the record list, and
+    documents whose record_count is not the number of their records; records announced and held."""
     corrupt = F.col(CORRUPT).isNotNull()
     absent = ~corrupt & F.col(f"data.{records}").isNull()
     held = F.array_size(f"data.{records}")
     miscounted = ~corrupt & ~absent & ~F.col("record_count").eqNullSafe(held.cast("bigint"))
-    return envelopes.agg(
+    return envelopes.groupBy(*by).agg(
         F.count(F.lit(1)).alias("documents"),
         F.count_if(corrupt).alias("corrupt"),
         F.count_if(absent).alias("without_records"),
         F.count_if(miscounted).alias("miscounted"),
         F.coalesce(F.sum("record_count"), F.lit(0)).cast("bigint").alias("records"),
+        F.coalesce(F.sum(held), F.lit(0)).cast("bigint").alias("held"),
     )
 
 

@@ -238,7 +238,9 @@ add(
       UNION ALL SELECT 'bronze', 'competitions', COUNT(DISTINCT competition_code) FROM bronze""",
     append_tables=f"""SELECT match_id AS id, status, {REFEREES} AS referees,
       CASE WHEN match_id % 5 <> 0 THEN match_id % 7 END AS first_referee
-      FROM fact, (VALUES (1), (2)) runs(n)""",
+      FROM fact, (VALUES (1), (2)) runs(n)
+      UNION ALL SELECT match_id, status, '"plain ' || match_id || '"', NULL FROM fact WHERE match_id % 3 <> 0
+      UNION ALL SELECT match_id, status, '[{{"id":' || match_id || '}}]', match_id FROM fact WHERE match_id % 3 = 0""",
     snk_replace="SELECT id, status, season_year FROM bronze",
     snk_append="""SELECT id, status, season_year FROM bronze
       UNION ALL SELECT id, CAST(NULL AS VARCHAR), season_year FROM bronze""",
@@ -294,10 +296,9 @@ add(
       FROM fact {NEWEST} LIMIT 10""",
     scalar_functions=f"""SELECT id, CAST(substr("utcDate", 1, 19) AS TIMESTAMP) AS ts, CAST(season_year AS BIGINT) AS year,
       substr("utcDate", 1, 19) AS iso, competition_code AS code,
-      ("utcDate" > '2000-12-31T00:00:00Z' OR "utcDate" < '1996-01-01T00:00:00Z') AS odd_date,
       CASE WHEN "score_fullTime_home" + "score_fullTime_away" > 0 THEN
         {pct('"score_fullTime_home"', '("score_fullTime_home" + "score_fullTime_away")')} END AS home_share,
-      CAST("score_fullTime_home" AS DOUBLE) / 2 AS half, TRUE AS json_text, CAST(2 AS BIGINT) AS list_length
+      CAST("score_fullTime_home" AS DOUBLE) / 2 AS half
       FROM bronze""",
 )
 ORACLE["prj_json_type"] = """SELECT event_id, event_type, 'OBJECT<k: BIGINT>' AS shape,
@@ -600,6 +601,7 @@ ORACLE["dq_payload_defects"] = """SELECT COUNT(*) AS documents,
   COUNT(*) FILTER (WHERE o_orderkey % 7 = 0) AS corrupt,
   COUNT(*) FILTER (WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0) AS without_records,
   COUNT(*) FILTER (WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 13 = 0) AS miscounted,
-  CAST(SUM(CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 0 WHEN o_orderkey % 13 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS records
+  CAST(SUM(CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 0 WHEN o_orderkey % 13 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS records,
+  COUNT(*) FILTER (WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0) AS held
   FROM orders"""
 ORACLE["dq_report"] = f"WITH {EVERYTHING.strip()}{REPORT}"

@@ -173,3 +173,19 @@ def test_one_row_per_match_and_competition(spark, rows):
     assert rows(staging.newest_matches(bronze).select("id", "goals")) == [(1, 1), (2, 3), (None, 0)]
     codes = spark.createDataFrame([(1, "PL", "a"), (1, "PL", "a"), (2, "PD", "b")], "id bigint, code string, name string")
     assert rows(staging.stg_competitions(codes)) == [(1, "PL", "a"), (2, "PD", "b")]
+
+
+def test_a_season_that_did_not_arrive_again_is_told(spark, layers, put_json, tmp_path, rows):
+    raw, comp = _land(put_json, tmp_path)
+    run = lambda: weekly.run(
+        layers, raw, comp, str(tmp_path / "landing"), run_ts=dt.datetime(2025, 1, 1), as_of=dt.date(2025, 1, 1), multi_line=True
+    )
+    run()
+    for league in ("PL", "FL1", "PD"):
+        put_json(f"raw/competition_code={league}/season_year=2024/m.json", raw="{\"data\": {\"matches\": [")
+    result = run()
+    assert rows(result.seasons) == [(2023, 6, None), (2024, 0, "not delivered")]
+    assert rows(result.missing) == [("FL1", 2024), ("PD", 2024), ("PL", 2024)]
+    report = {(r.section, r.item, r.measure): r.value for r in result.report.collect()}
+    assert report["payload", "matches", "corrupt"] == "3" and report["payload", "matches", "documents"] == "6"
+    assert report["load", "2024", "failed"] == "not delivered"
