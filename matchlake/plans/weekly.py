@@ -202,7 +202,11 @@ def run(
     def read_season(season: int) -> DataFrame:
         return landing.read_parquet(spark, f"{landing_path}/{season_folder(season)}", merge_schema=True)
 
-    loaded = load_seasons(layers, read_season, [s for s in seasons if s in arrived])
+    def read_all(wanted: Sequence[int]) -> DataFrame:
+        rows = landing.read_parquet(spark, f"{landing_path}/{MATCHES}", merge_schema=True)
+        return rows.where(F.col("season_year").isin(*wanted))
+
+    loaded = load_seasons(layers, read_season, [s for s in seasons if s in arrived], read_all=read_all)
     absent = [(int(s), 0, "not delivered") for s in seasons if s not in arrived]
     loaded = loaded.unionAll(spark.createDataFrame(absent, loaded.schema))
     competitions = landing.read_parquet(spark, f"{landing_path}/{COMPETITIONS}")

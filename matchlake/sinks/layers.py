@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -105,15 +105,26 @@ class Layers:
         Dynamic overwrite stages the new files and swaps them in at commit, so a read that fails
         half way leaves the old rows, and a second run leaves the same ones.
         """
-        self.ensure(layer)
         dated = df.drop("season_year").withColumn("season_year", F.lit(int(season)))
+        return self.replace_seasons(dated, layer, table, [season])[season]
+
+    def replace_seasons(self, df: DataFrame, layer: str, table: str, seasons: Sequence[int]) -> dict[int, int]:
+        """Swap the partitions of all `seasons` that have rows in `df`, in one job; returns the rows of each.
+
+        REBALANCE gives each season even files, as one task would otherwise meet many seasons.
+        """
+        self.ensure(layer)
         if not self.exists(layer, table):
-            dated.limit(0).write.format("parquet").partitionBy("season_year").saveAsTable(self.name(layer, table))
+            df.limit(0).write.format("parquet").partitionBy("season_year").saveAsTable(self.name(layer, table))
+        if len(seasons) > 1:
+            df = df.hint("rebalance", F.col("season_year"))
         counted = Observation()
-        rows = self._aligned(dated, layer, table).observe(counted, F.count(F.lit(1)).alias("n"))
+        rows = self._aligned(df, layer, table).observe(
+            counted, *[F.count_if(F.col("season_year") == s).alias(f"n{s}") for s in seasons]
+        )
         with _dynamic_overwrite(self.spark):
             rows.write.mode("overwrite").insertInto(self.name(layer, table))
-        return counted.get["n"]
+        return {s: counted.get[f"n{s}"] for s in seasons}
 
     def _aligned(self, df: DataFrame, layer: str, table: str) -> DataFrame:
         """Columns in table order: new ones are added to the table, absent ones are NULL."""
@@ -138,15 +149,26 @@ def together(*steps: Callable[[], object], threads: int = 4) -> list:
 
 
 def load_seasons(
-    layers: Layers, read_season: Callable[[int], DataFrame], seasons: Iterable[int], table: str = "matches"
+    layers: Layers, read_season: Callable[[int], DataFrame], seasons: Iterable[int], table: str = "matches",
+    read_all: Callable[[Sequence[int]], DataFrame] | None = None,
 ) -> DataFrame:
     """Load each season into its own bronze partition: `(season_year, rows_loaded, error)`.
 
-    A season that cannot be read is reported and leaves the rest, and its own old rows, as they
+    With `read_all`, which gives the rows of several seasons with their season_year, one job loads all of
+    them. Seasons it has no rows for, and all seasons if that job fails, are loaded one by one. A season that cannot be read is reported and leaves the rest, and its own old rows, as they
     were. An empty season is skipped. The list of seasons is an argument; rows never reach the driver.
     """
+    seasons, loaded = list(seasons), {}
+    if read_all is not None and seasons:
+        try:
+            loaded = layers.replace_seasons(read_all(seasons), "bronze", table, seasons)
+        except (PySparkException, Py4JJavaError):
+            loaded = {}
     outcome = []
     for season in seasons:
+        if loaded.get(season):
+            outcome.append((season, loaded[season], None))
+            continue
         try:
             df = read_season(season)
             rows = 0 if df.isEmpty() else layers.replace_season(df, "bronze", table, season)

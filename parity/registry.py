@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -232,7 +232,10 @@ def snk_load_seasons(spark: SparkSession, sf: str) -> DataFrame:
     def read_season(season: int) -> DataFrame:
         return landing.read_parquet(spark, f"{root}/{weekly.season_folder(season)}")
 
-    outcome = load_seasons(layers, read_season, seasons(spark, sf, 1))
+    def read_all(wanted: Sequence[int]) -> DataFrame:
+        return landing.read_parquet(spark, f"{root}/{weekly.MATCHES}").where(F.col("season_year").isin(*wanted))
+
+    outcome = load_seasons(layers, read_season, seasons(spark, sf, 1), read_all=read_all)
     stored = layers.table("bronze", "matches").groupBy("season_year").agg(F.count(F.lit(1)).alias("rows_stored"))
     return outcome.join(stored, "season_year", "left").select(
         "season_year", "rows_loaded", F.coalesce("rows_stored", F.lit(0)).alias("rows_stored"),

@@ -189,3 +189,16 @@ def test_a_season_that_did_not_arrive_again_is_told(spark, layers, put_json, tmp
     report = {(r.section, r.item, r.measure): r.value for r in result.report.collect()}
     assert report["payload", "matches", "corrupt"] == "3" and report["payload", "matches", "documents"] == "6"
     assert report["load", "2024", "failed"] == "not delivered"
+
+
+def test_seasons_load_in_one_job_or_one_by_one(spark, layers, rows):
+    from pyspark.sql import functions as F
+
+    data = {2021: [(1, 2021)], 2022: [(2, 2022), (3, 2022)], 2023: []}
+    frame = lambda wanted: spark.createDataFrame([r for s in wanted for r in data[s]], "id bigint, season_year int")
+    one = lambda s: frame([s])
+    want = [(2021, 1, None), (2022, 2, None), (2023, 0, None)]
+    assert rows(load_seasons(layers, one, data, read_all=frame)) == want
+    broken = lambda wanted: frame(wanted).withColumn("id", F.raise_error(F.lit("no")).cast("bigint"))
+    assert rows(load_seasons(layers, one, data, read_all=broken)) == want
+    assert rows(layers.table("bronze", "matches")) == [(1, 2021), (2, 2022), (3, 2022)]
