@@ -274,7 +274,6 @@ add(
     prj_json_encode=f"""SELECT match_id AS id, {UTC} AS "utcDate", status,
       '{{"code":"' || competition_code || '","name":"' || competition_name || '"}}' AS competition,
       '{{"startYear":' || match_year || '}}' AS season,
-      '{{"code":"' || competition_code || '","name":"' || competition_name || '"}}' AS competition, {REFEREES} AS referees,
       '{{"id":' || home_team_id || ',"name":"' || home_team_name || '"}}' AS "homeTeam",
       '{{"id":' || away_team_id || ',"name":"' || away_team_name || '"}}' AS "awayTeam",
       {SCORE} AS score, {REFEREES} AS referees FROM fact""",
