@@ -73,8 +73,6 @@ class Layers:
         values. `clustered=True` says the input is read in that order anyway and saves the shuffle.
         """
         self.ensure(layer)
-        if partition_by and not clustered:
-            df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         fresh = f"{table}__new_{uuid.uuid4().hex[:8]}"
         try:
             df.write.format("parquet").saveAsTable(self.name(layer, fresh))
@@ -82,8 +80,11 @@ class Layers:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, fresh)}")
             raise
         if partition_by:
-            complete = self.table(layer, fresh).write.format("parquet").mode("overwrite")
-            complete.partitionBy(*partition_by).saveAsTable(self.name(layer, table))
+            complete = self.table(layer, fresh)
+            if not clustered:
+                complete = complete.hint("rebalance", *[F.col(c) for c in partition_by])
+            writer = complete.write.format("parquet").mode("overwrite")
+            writer.partitionBy(*partition_by).saveAsTable(self.name(layer, table))
             self.spark.sql(f"DROP TABLE {self.name(layer, fresh)}")
         else:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
