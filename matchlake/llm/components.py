@@ -12,9 +12,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Each node sends its larger neighbours to the least of its neighbours and itself."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-    return both.where(F.col("b") > F.col("a")).join(least, "a").select(
-        F.col("b").alias("a"), F.col("least").alias("b")
-    ).distinct()
+    return both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -27,20 +25,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return sent.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Every node has one edge to a smaller one at most, and none that others point to has any."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.where((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("into") == 1))).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for all nodes of the edges (a, b) but the roots, the least node of each component.
 
     Edges from a node to itself and nulls are left aside; without edges there are no rows. The number
-    of rounds grows with the logarithm of a component's size. Each round is kept in the checkpoint
-    folder; only a row count and a sum of hashes come to the driver.
+    of rounds grows with the logarithm of a component's size; edges that are stars already take none. Each
+    round is kept in the checkpoint folder, and only one flag of it comes to the driver.
     """
-    now = settle(edges.select("a", "b").where(F.col("a") != F.col("b")).distinct())
-    before = None
-    while True:
-        state = tuple(now.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first())
-        if state == before or not state[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = state
+    down = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = settle(down.distinct())
+    while not _all_stars(now):
         now = settle(_small_star(_large_star(now)))
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

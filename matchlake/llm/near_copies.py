@@ -199,7 +199,7 @@ FOUND = T.StructType([
 
 def verify(join: Join):  # noqa: ANN201
     def cell(table: pa.Table) -> pa.Table:
-        """Link counts of a cell's classes, and edges that span what is linked."""
+        """Link counts of a cell's classes, and a star over each set of linked ones."""
         names, first = np.unique(np.array(table.column("_set").to_pylist(), dtype=object), return_index=True)
         table = table.take(pa.array(first))
         blobs = table.column("_shingles").to_pylist()
@@ -215,15 +215,14 @@ def verify(join: Join):  # noqa: ANN201
                 k = root[k]
             return k
 
-        edges: list[tuple[int, int]] = []
         for i, others in linked(shingles, counts, table.column("_block").to_numpy(), join):
             links[i] += copies[others].sum()
             links[others] += copies[i]
             for j in others.tolist():
                 one, other = top(i), top(j)
-                if one != other:
-                    root[max(one, other)] = min(one, other)
-                    edges.append((j, i))
+                root[max(one, other)] = min(one, other)
+        # names are sorted, so each star's middle is its least name
+        edges = [(k, top(k)) for k in range(len(names)) if top(k) != k]
         some = np.flatnonzero(links)
         return pa.table({
             "a": pa.array([names[k] for k in some] + [names[j] for j, _ in edges], pa.binary()),
