@@ -22,6 +22,8 @@ from matchlake.llm import ragged
 from matchlake.llm.columns import isolate, restore, settle
 
 REMEMBERED = 600_000
+# parts of the texts of one language and size
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -201,6 +203,19 @@ def bands(points: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+def limits(points: DataFrame, value: str, rules: Bands) -> DataFrame:
+    """The band of each language and size class; where a class has few texts, its language's."""
+    wide = bands(points, ["_lang"], value).select(
+        "_lang", F.col(f"{value}_median").alias("_m"), F.col(f"{value}_spread").alias("_s")
+    )
+    enough = F.col(f"{value}_texts") >= rules.least_texts
+    return bands(points, ["_lang", "_class"], value).join(wide, "_lang").select(
+        "_lang", "_class",
+        F.when(enough, F.col(f"{value}_median")).otherwise(F.col("_m")).alias(f"{value}_median"),
+        F.when(enough, F.col(f"{value}_spread")).otherwise(F.col("_s")).alias(f"{value}_spread"),
+    )
+
+
 def size_class(tokens: Column) -> Column:
     """Half octaves of the number of tokens: entropy depends on it."""
     return F.floor(2 * F.log2(F.greatest(tokens, F.lit(1)))).cast("int")
@@ -216,18 +231,15 @@ def judge(features: DataFrame, rules: Bands) -> DataFrame:
         "byte_share": F.col("n_byte_tokens") / F.greatest(F.col("n_tokens"), F.lit(1)),
     })
     points = full.where(~F.col("base_failed")).select("_lang", "_class", "chars_per_token", "entropy")
-    joined = full
-    for value in ("chars_per_token", "entropy"):
-        narrow = bands(points, ["_lang", "_class"], value).where(F.col(f"{value}_texts") >= rules.least_texts)
-        wide = bands(points, ["_lang"], value).select(
-            F.col("_lang"), F.col(f"{value}_median").alias(f"{value}_m"), F.col(f"{value}_spread").alias(f"{value}_s")
-        )
-        joined = joined.join(narrow, ["_lang", "_class"], "left").join(wide, ["_lang"], "left")
+    table = limits(points, "chars_per_token", rules).join(limits(points, "entropy", rules), ["_lang", "_class"])
+    # most texts may be of one language: each part of them meets its own copy of the small table
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = full.withColumn("_salt", F.pmod(F.xxhash64("_doc", "_version"), F.lit(SALTS)).cast("int"))
+    joined = salted.join(table.withColumn("_salt", salts), ["_lang", "_class", "_salt"], "left")
 
     def outside(value: str) -> Column:
-        middle = F.coalesce(f"{value}_median", f"{value}_m")
-        spread = F.greatest(F.coalesce(f"{value}_spread", f"{value}_s"), F.lit(rules.least_spread))
-        return F.coalesce(F.abs(F.col(value) - middle) > rules.width * spread, F.lit(False))
+        spread = F.greatest(F.col(f"{value}_spread"), F.lit(rules.least_spread))
+        return F.coalesce(F.abs(F.col(value) - F.col(f"{value}_median")) > rules.width * spread, F.lit(False))
 
     reason = (
         F.when(F.col("base_failed"), "base").when(F.col("byte_share") > rules.byte_share, "byte fallback")
