@@ -2,7 +2,7 @@
 
 A text that its vocabulary breaks into unusually short pieces, falls back to bytes for, or
 repeats few pieces of, is unlike its language. The usual range is a band per language, taken from
-all documents.
+all distinct texts.
 """
 
 from __future__ import annotations
@@ -35,8 +35,10 @@ class Bands:
     least_spread: float = 0.02
     # beyond this share of byte-fallback tokens a text is rejected in any language
     byte_share: float = 0.4
-    # a size class with fewer texts takes its language's band
+    # a size class with fewer distinct texts takes its language's band
     least_texts: int = 200
+    # a language with fewer distinct texts has no band, and nothing of it is rejected by one
+    least_language: int = 30
 
 
 class Vocabulary:
@@ -204,9 +206,10 @@ def bands(points: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def limits(points: DataFrame, value: str, rules: Bands) -> DataFrame:
-    """The band of each language and size class; where a class has few texts, its language's."""
+    """The band of each language and size class; where a class has few texts, its language's; null where that has few too."""
+    known = F.col(f"{value}_texts") >= rules.least_language
     wide = bands(points, ["_lang"], value).select(
-        "_lang", F.col(f"{value}_median").alias("_m"), F.col(f"{value}_spread").alias("_s")
+        "_lang", F.when(known, F.col(f"{value}_median")).alias("_m"), F.when(known, F.col(f"{value}_spread")).alias("_s")
     )
     enough = F.col(f"{value}_texts") >= rules.least_texts
     return bands(points, ["_lang", "_class"], value).join(wide, "_lang").select(
@@ -230,7 +233,10 @@ def judge(features: DataFrame, rules: Bands) -> DataFrame:
         "chars_per_token": F.col("word_chars") / F.greatest(F.col("n_tokens"), F.lit(1)),
         "byte_share": F.col("n_byte_tokens") / F.greatest(F.col("n_tokens"), F.lit(1)),
     })
-    points = full.where(~F.col("base_failed")).select("_lang", "_class", "chars_per_token", "entropy")
+    # a text counts once in its language, however many copies it has
+    points = settle(full.where(~F.col("base_failed")).groupBy("_lang", "_version").agg(
+        *[F.min(c).alias(c) for c in ("_class", "chars_per_token", "entropy")]
+    ))
     table = limits(points, "chars_per_token", rules).join(limits(points, "entropy", rules), ["_lang", "_class"])
     # most texts may be of one language: each part of them meets its own copy of the small table
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
@@ -262,7 +268,10 @@ def rate(
     - Null or empty text: no words, so base_failed and not kept.
     - Null lang: a group of its own. A null or repeated doc_id and repeated rows are rated as they
       are. Other columns are left aside. An empty table gives no rows.
-    - Groups of texts share one band, but no group meets in a task: only counts of values move.
+    - Groups of texts share one band, but no group meets in a task: only distinct texts' measures and
+      counts of values move.
+    - Copies of a text count once in the bands. A language (or null lang) with fewer than 30 distinct texts that pass
+      the base rules (`least_language`) has no band: only the base rules reject its texts.
 
     The measures are computed once and kept in the checkpoint folder, as the bands need all of them.
     """

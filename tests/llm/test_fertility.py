@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -89,3 +90,33 @@ def test_null_language_and_empty_table(spark, docs, tokenizer):
     path = tokenizer("piece_bpe_32k.model")
     assert fertility.rate(docs([(1, "some words " * 30)], lang=None), path).count() == 1
     assert fertility.rate(docs([]), path).collect() == [] and fertility.keep_good(docs([]), path).collect() == []
+
+
+def clean_texts(seed, n, vocabulary, lengths=(120, 120)):
+    """Texts of unlike entropy: each has its own part of the vocabulary."""
+    rng = random.Random(seed)
+    made = []
+    for _ in range(n):
+        own = rng.sample(vocabulary, rng.randint(len(vocabulary) // 2, len(vocabulary)))
+        made.append(" ".join(rng.choices(own, k=rng.randint(*lengths))))
+    return made
+
+
+ENGLISH = "the of house water light stone river under morning people began through little another".split()
+
+
+def rated(spark, path, rows):
+    table = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    return {r.doc_id: r.reason for r in fertility.rate(table, path).collect()}
+
+
+def test_copies_do_not_narrow_the_band(spark, tokenizer):
+    clean = clean_texts(4, 250, ENGLISH)
+    reasons = rated(spark, tokenizer("piece_bpe_32k.model"), [(t, "en") for t in clean + [clean[0]] * 400])
+    assert set(reasons.values()) == {None}
+
+
+def test_a_language_of_two_documents_has_no_band(spark, tokenizer):
+    short, long = clean_texts(5, 1, ENGLISH, (25, 25)) + clean_texts(6, 1, ENGLISH + [f"{a}{b}" for a in ENGLISH for b in ENGLISH], (900, 900))
+    reasons = rated(spark, tokenizer("piece_bpe_32k.model"), [(short, "xx"), (long, "xx")])
+    assert set(reasons.values()) == {None}
