@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,6 @@ class Bands:
 
     width: float = 6.0
     least_spread: float = 0.02
-    # beyond this share of byte-fallback tokens a text is rejected in any language
-    byte_share: float = 0.4
     # a size class with fewer distinct texts takes its language's band
     least_texts: int = 200
     # a language with fewer distinct texts has no band, and nothing of it is rejected by one
@@ -224,6 +222,9 @@ def size_class(tokens: Column) -> Column:
     return F.floor(2 * F.log2(F.greatest(tokens, F.lit(1)))).cast("int")
 
 
+BANDED = ("byte_share", "chars_per_token", "entropy")
+
+
 def judge(features: DataFrame, rules: Bands) -> DataFrame:
     """`features` (with _lang and the measures) with base_failed, reason and kept added."""
     full = features.withColumns({
@@ -235,9 +236,9 @@ def judge(features: DataFrame, rules: Bands) -> DataFrame:
     })
     # a text counts once in its language, however many copies it has
     points = settle(full.where(~F.col("base_failed")).groupBy("_lang", "_version").agg(
-        *[F.min(c).alias(c) for c in ("_class", "chars_per_token", "entropy")]
+        *[F.min(c).alias(c) for c in ("_class", *BANDED)]
     ))
-    table = limits(points, "chars_per_token", rules).join(limits(points, "entropy", rules), ["_lang", "_class"])
+    table = reduce(lambda a, b: a.join(b, ["_lang", "_class"]), [limits(points, value, rules) for value in BANDED])
     # most texts may be of one language: each part of them meets its own copy of the small table
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     salted = full.withColumn("_salt", F.pmod(F.xxhash64("_doc", "_version"), F.lit(SALTS)).cast("int"))
@@ -248,7 +249,7 @@ def judge(features: DataFrame, rules: Bands) -> DataFrame:
         return F.coalesce(F.abs(F.col(value) - F.col(f"{value}_median")) > rules.width * spread, F.lit(False))
 
     reason = (
-        F.when(F.col("base_failed"), "base").when(F.col("byte_share") > rules.byte_share, "byte fallback")
+        F.when(F.col("base_failed"), "base").when(outside("byte_share"), "byte fallback")
         .when(outside("chars_per_token"), "characters per token").when(outside("entropy"), "token entropy")
     )
     return joined.withColumn("reason", reason).withColumn("kept", F.col("reason").isNull())

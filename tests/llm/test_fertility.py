@@ -120,3 +120,15 @@ def test_a_language_of_two_documents_has_no_band(spark, tokenizer):
     short, long = clean_texts(5, 1, ENGLISH, (25, 25)) + clean_texts(6, 1, ENGLISH + [f"{a}{b}" for a in ENGLISH for b in ENGLISH], (900, 900))
     reasons = rated(spark, tokenizer("piece_bpe_32k.model"), [(short, "xx"), (long, "xx")])
     assert set(reasons.values()) == {None}
+
+
+def test_byte_fallback_is_measured_by_language(spark, tokenizer, model):
+    """The vocabulary has few Amharic letters; an English text with a third of bytes is odd all the same."""
+    amharic = clean_texts(7, 220, "ሰላም ለዓለም ሁሉ ዛሬ ጥሩ ቀን ነው እኛም ወደ ገበያ እንሄዳለን ውሃ ድንጋይ ብርሃን ወንዝ ቤት".split())
+    english = clean_texts(8, 220, ENGLISH)
+    words = english[0].split()
+    odd = " ".join(w if k % 24 else "ᚠᚢᚦᚱ" for k, w in enumerate(words))
+    share = [sum(map(model.is_byte, ids)) / len(ids) for ids in (model.encode(amharic[0]), model.encode(odd))]
+    assert share[0] > 0.4 > share[1] > 0.2
+    reasons = rated(spark, tokenizer("piece_bpe_32k.model"), [(t, "am") for t in amharic] + [(t, "en") for t in english] + [(odd, "en")])
+    assert {k: r for k, r in reasons.items() if r} == {440: "byte fallback"}
