@@ -81,6 +81,13 @@ def test_a_cluster_of_many_blocks(spark, docs):
     assert got == by_hand(pairs)
 
 
+def test_few_long_texts_leave_blocks_empty(spark, docs):
+    for seed in range(3):
+        pairs = variants(seed + 10, 2, 2) + variants(seed + 20, 1, 3)
+        got = result(nc.near_copies(docs(pairs), nc.Join(block_shingles=30)))
+        assert got == by_hand(pairs)
+
+
 def test_corpus(spark, docs, corpus):
     assert result(nc.near_copies(docs(corpus))) == by_hand(corpus)
 
