@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from matchlake.llm import ragged
-from matchlake.llm.columns import isolate, restore, settle
+from matchlake.llm.columns import WHITE, isolate, restore, settle
 from matchlake.llm.components import components
 
 
@@ -283,7 +283,11 @@ def near_copies(
     is split into blocks of `block_shingles`, and each pair of blocks is one group, so a cluster of any size
     is compared in bounded groups; only sums and spanning edges leave them, never pairs.
     """
-    j = join or Join()
+    return _classed(docs, join or Join(), doc_id, text).drop("_class_set")
+
+
+def _classed(docs: DataFrame, j: Join, doc_id: str, text: str) -> DataFrame:
+    """What near_copies gives, and _class_set: the set that names the class, null for a text without words."""
     work = isolate(docs, doc=doc_id, text=text).select("_doc", F.xxhash64("_text").alias("_version"), "_text")
     signed = settle(signatures(work, j))
     classes = settle(signed.where(F.col("_set").isNotNull()).groupBy("_set", "_bands", "_size").agg(
@@ -311,9 +315,9 @@ def near_copies(
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     named = groups.join(classes.select(F.col("_set").alias("node"), "_least"), "node")
     leaders = named.groupBy("root").agg(F.min("_least").alias("_leader"))
-    of_group = named.join(leaders, "root").select(F.col("node").alias("_set"), "_leader")
+    of_group = named.join(leaders, "root").select(F.col("node").alias("_set"), "_leader", "root")
     told = classes.select("_set", "_least", "_copies").join(links, "_set", "left").join(of_group, "_set", "left").select(
-        "_set", F.coalesce("_leader", "_least").alias("_class"),
+        "_set", F.coalesce("root", "_set").alias("_class_set"), F.coalesce("_leader", "_least").alias("_class"),
         (F.coalesce("_links", F.lit(0)) + F.col("_copies") - 1).alias("_all_links"), "_copies",
     )
     result = signed.select("_doc", "_version", "_set").join(told, "_set", "left")
@@ -321,19 +325,26 @@ def near_copies(
         F.col("_doc").alias(doc_id), F.col("_version").alias("version"),
         F.when(F.col("_set").isNull(), F.col("_doc")).otherwise(F.col("_class")).alias("class_id"),
         F.coalesce("_all_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("_copies", F.lit(1)).cast("long").alias("n_copies"),
+        F.coalesce("_copies", F.lit(1)).cast("long").alias("n_copies"), "_class_set",
     )
 
 
 def keep_one(docs: DataFrame, join: Join | None = None) -> DataFrame:
-    """The rows of `docs` without all but one document of each class: the one whose doc_id is least."""
-    keepers = near_copies(docs, join).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").agg(
-        F.min("version").alias("_keep_version")
-    ).withColumnRenamed("doc_id", "_keep")
+    """The rows of `docs` without all but one document of each class: one whose doc_id is least, and among
+    those the one with the least version.
+
+    Classes are told apart by their texts: unlike texts under one repeated or null doc_id all stay. Texts
+    without words (or null, or empty) are no copies of anything and all stay.
+    """
+    keepers = _classed(docs, join or Join(), "doc_id", "text").where(
+        F.col("_class_set").isNotNull() & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    ).groupBy("_class_set").agg(F.min("doc_id").alias("_keep"), F.min("version").alias("_keep_version")).drop("_class_set")
     work = isolate(docs, doc="doc_id", text="text").withColumn("_version", F.xxhash64("_text"))
+    wordless = F.coalesce(F.btrim("_text", F.lit(WHITE)) == "", F.lit(True))
     same: Column = F.col("_doc").eqNullSafe(F.col("_keep")) & (F.col("_version") == F.col("_keep_version"))
     once = Window.partitionBy("_doc", "_version").orderBy("_doc")
-    kept = work.join(keepers, same, "left_semi").withColumn("_nth", F.row_number().over(once)).where("_nth = 1")
+    kept = work.where(~wordless).join(keepers, same, "left_semi").withColumn("_nth", F.row_number().over(once)).where("_nth = 1")
+    kept = kept.drop("_nth").unionByName(work.where(wordless))
     return restore(kept, docs.columns, {"doc": "doc_id", "text": "text"})
 
 

@@ -105,6 +105,16 @@ def test_keep_one(spark, docs, corpus):
     assert len(rows) == len(classes) and {shingles(r.text) for r in rows} <= texts
 
 
+def test_keep_one_by_class_not_by_id(spark, docs):
+    """Unlike texts under a null or repeated id all stay, one of each class; texts without words all stay."""
+    unlike = [" ".join(f"t{k}w{n}" for n in range(30)) for k in range(6)]
+    pairs = [(None, t) for t in unlike[:3]] + [(None, unlike[0]), (5, unlike[3]), (5, unlike[4]), (5, unlike[5]), (6, unlike[5])]
+    pairs += [(None, None), (None, ""), (7, ""), (7, "")]
+    kept = Counter((r.doc_id, r.text) for r in nc.keep_one(docs(pairs)).collect())
+    want = [(None, t) for t in unlike[:3]] + [(5, t) for t in unlike[3:]] + [(None, None), (None, ""), (7, ""), (7, "")]
+    assert kept == Counter(want)
+
+
 def test_pruning_keeps_what_reaches_the_threshold():
     """The posterior bound by numbers, and no loss among pairs near the threshold."""
     join = nc.Join()
