@@ -52,6 +52,20 @@ def test_edge_cases(spark, docs):
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, None), (2, ""), (3, "| ## |"), (4, OTHER)] or len(kept.collect()) == 4
 
 
+def test_copies_of_any_words(spark, docs):
+    """Dense in names and numbers, shorter than a window, all in capitals; a changed name at a sentence's start."""
+    dense = "Maria had 12 apples, Peter gave 3 to John and 4 to Anna."
+    german = "Der Bauer bringt Äpfel, Birnen und Pflaumen mit Karren zum Markt in Köln am Rhein."
+    named = "Peter has 12 apples and some Peter took. Peter ate 5 of them."
+    renamed = "Maria has 40 apples and some Maria took. Maria ate 7 of them."
+    items = [(1, dense), (2, "What is 17 * 23 + 4?"), (3, german), (4, QUESTION), (5, named)]
+    pairs = [(1, f"{OTHER} {dense} {OTHER}"), (2, f"{OTHER} What is 17 * 23 + 4? {OTHER}"), (3, f"{OTHER}\n{german}"), (4, QUESTION.upper()), (5, renamed),
+             (6, "Maria had 9 apples. What is 17 * 23 then?")]
+    got = found(spark, docs, pairs, items)
+    assert set(got) == {(k, k) for k in range(1, 6)}
+    assert all(got[k, k].kind == "exact" for k in range(1, 5)) and got[5, 5].kind == "re-parameterised"
+
+
 def test_corpus_against_word_windows(spark, corpus):
     """Items stand in the corpus word by word: any eight words of one name it."""
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
