@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import alignment, audit, chat, decontaminate, fertility, licenses, line_dedup, near_copies, packing, sharding, suffixes, token_counts
+from matchlake.llm import alignment, audit, chat, decontaminate, fertility, licenses, line_dedup, near_copies, packing, pitman_yor, sharding, suffixes, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_license_scans": licenses.op9_license_scans,
     "op10_suffix_array_dedup": suffixes.op10_suffix_array_dedup,
+    "op11_lm_scoring": pitman_yor.op11_lm_scoring,
     "op12_cross_tokenizer_alignment": alignment.op12_cross_tokenizer_alignment,
     "op13_filter_audit": audit.op13_filter_audit,
 }
