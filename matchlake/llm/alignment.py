@@ -31,6 +31,8 @@ from matchlake.llm.spread import spread_lookup
 PIECE_CHARS = 1 << 18
 # fragments composed by one task at each level of the tree
 FANOUT = 64
+# characters of pieces encoded at once in a task: bounds the encoders' working memory, whatever the batch
+ENCODE_CHARS = 1 << 20
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 FRAGMENT = T.StructType([
@@ -39,9 +41,8 @@ FRAGMENT = T.StructType([
     T.StructField("_pre_a", T.StringType()), T.StructField("_pre_b", T.StringType()),
     T.StructField("_groups", T.StringType()), T.StructField("_ngroups", T.LongType()),
     T.StructField("_suf_a", T.StringType()), T.StructField("_suf_b", T.StringType()),
-    T.StructField("_links", T.ArrayType(T.StructType([
-        T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()),
-    ]))),
+    # links: the A and B ids of the token pairs that end together, in order
+    T.StructField("_la", T.ArrayType(T.IntegerType())), T.StructField("_lb", T.ArrayType(T.IntegerType())),
 ])
 FIELDS = [f.name for f in FRAGMENT.fields]
 
@@ -112,10 +113,10 @@ def fragment(vocab: Vocabularies, a: np.ndarray, b: np.ndarray) -> dict:
     common = np.intersect1d(a_end, b_end, assume_unique=True)
     a_cut = np.searchsorted(a_end, common, side="right")
     b_cut = np.searchsorted(b_end, common, side="right")
-    links = [{"a": int(a[i - 1]), "b": int(b[j - 1])} for i, j in zip(a_cut.tolist(), b_cut.tolist(), strict=True)]
+    links = {"_la": a[a_cut - 1].astype(np.int32), "_lb": b[b_cut - 1].astype(np.int32)}
     if not len(common):
         return {"_na": len(a), "_nb": len(b), "_closed": False, "_pre_a": _ids(a), "_pre_b": _ids(b),
-                "_groups": "", "_ngroups": 0, "_suf_a": "", "_suf_b": "", "_links": links}
+                "_groups": "", "_ngroups": 0, "_suf_a": "", "_suf_b": ""} | links
     groups = [
         f"{_ids(a[a_cut[k - 1]:a_cut[k]])}|{_ids(b[b_cut[k - 1]:b_cut[k]])}" for k in range(1, len(common))
     ]
@@ -123,8 +124,8 @@ def fragment(vocab: Vocabularies, a: np.ndarray, b: np.ndarray) -> dict:
         "_na": len(a), "_nb": len(b), "_closed": True,
         "_pre_a": _ids(a[:a_cut[0]]), "_pre_b": _ids(b[:b_cut[0]]),
         "_groups": ";".join(groups), "_ngroups": len(groups),
-        "_suf_a": _ids(a[a_cut[-1]:]), "_suf_b": _ids(b[b_cut[-1]:]), "_links": links,
-    }
+        "_suf_a": _ids(a[a_cut[-1]:]), "_suf_b": _ids(b[b_cut[-1]:]),
+    } | links
 
 
 def compose(left: dict, right: dict) -> dict:
@@ -149,16 +150,30 @@ def compose(left: dict, right: dict) -> dict:
 
 
 def fragments(keyed: DataFrame, a_path: str, b_path: str, piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """One fragment row per piece of every (_key, _text) row; no shuffle."""
+    """One fragment row per piece of every (_key, _text) row; no shuffle.
+
+    Pieces are encoded and emitted ENCODE_CHARS characters at a time, so a task holds the encodings of
+    about that much text, not of its whole input batch.
+    """
+    def emit(vocab: Vocabularies, pending: list[tuple[int, int, bool, str]]) -> pd.DataFrame:
+        encoded = vocab.encode([piece for _, _, _, piece in pending])
+        rows = [{"_key": key, "_piece": k, "_ok": ok and full} | fragment(vocab, a, b)
+                for (key, k, full, _), (a, b, ok) in zip(pending, encoded, strict=True)]
+        return pd.DataFrame(rows, columns=FIELDS)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab = vocabularies(a_path, b_path)
+        pending, size = [], 0
         for batch in batches:
-            rows = []
             for key, text in zip(batch["_key"].tolist(), batch["_text"].tolist(), strict=True):
-                pieces = cut(text or "", piece_chars)
-                for k, (a, b, ok) in enumerate(vocab.encode(pieces)):
-                    rows.append({"_key": key, "_piece": k, "_ok": ok and bool(text)} | fragment(vocab, a, b))
-            yield pd.DataFrame(rows, columns=FIELDS)
+                for k, piece in enumerate(cut(text or "", piece_chars)):
+                    pending.append((key, k, bool(text), piece))
+                    size += len(piece)
+                    if size >= ENCODE_CHARS:
+                        yield emit(vocab, pending)
+                        pending, size = [], 0
+        if pending:
+            yield emit(vocab, pending)
 
     return keyed.select("_key", "_text").mapInPandas(run, FRAGMENT)
 
@@ -170,7 +185,7 @@ def reduce_level(frags: DataFrame) -> DataFrame:
         done = rows[0]
         for row in rows[1:]:
             done = compose(done, row)
-        done |= {"_key": rows[0]["_key"], "_piece": rows[0]["_piece"] // FANOUT, "_links": []}
+        done |= {"_key": rows[0]["_key"], "_piece": rows[0]["_piece"] // FANOUT, "_la": [], "_lb": []}
         return pd.DataFrame([done], columns=FIELDS)
 
     return frags.groupBy("_key", (F.col("_piece") / FANOUT).cast("long").alias("_parent")).applyInPandas(fold, FRAGMENT)
@@ -192,12 +207,14 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
     ).withColumn("_key", F.monotonically_increasing_id()))
     frags = settle(fragments(keyed, a_path, b_path, piece_chars))
     most = frags.agg(F.max("_piece")).first()[0] or 0
-    whole = frags.drop("_links")
+    whole = frags.drop("_la", "_lb")
+    empty = F.array().cast(FRAGMENT["_la"].dataType)
     while most > 0:
-        whole = settle(reduce_level(whole.withColumn("_links", F.array().cast(FRAGMENT["_links"].dataType))).drop("_links"))
+        whole = settle(reduce_level(whole.withColumn("_la", empty).withColumn("_lb", empty)).drop("_la", "_lb"))
         most //= FANOUT
     good = whole.where("_ok").select("_key")
-    links = frags.select("_key", F.explode("_links").alias("_l")).join(good, "_key", "left_semi")
+    links = frags.select("_key", F.explode(F.arrays_zip(F.col("_la").alias("a"), F.col("_lb").alias("b"))).alias("_l")).join(
+        good, "_key", "left_semi")
     per_doc = links.groupBy("_key", F.col("_l.a").alias("_a"), F.col("_l.b").alias("_b")).agg(F.count(F.lit(1)).alias("_k"))
     pairs = per_doc.groupBy("_a", "_b").agg(F.sum("_k").alias("_c"))
     best = pairs.groupBy("_b").agg(F.max("_c").alias("_top"))
