@@ -154,6 +154,8 @@ class Model:
         self.levels[order - 1] = settle(self._with_id(deepest.withColumn("_t", F.lit(1).cast("long"))))
         for level in range(order - 2, -1, -1):
             self.levels[level] = settle(self._lift(self.levels[level + 1], level + 1).withColumn("_t", F.lit(1).cast("long")))
+        # probabilities of the current state, written once and used by the next sweep and by predictive()
+        self._priced: list[DataFrame] | None = None
 
     @staticmethod
     def _with_id(df: DataFrame) -> DataFrame:
@@ -169,12 +171,18 @@ class Model:
         return state.groupBy("_ctx").agg(F.sum("_c").alias("_cu"), F.sum("_t").alias("_tu"))
 
     def probabilities(self) -> list[DataFrame]:
-        """Per level (_ctx, _w, _prob) of the rows of the state, and per level (_ctx, _cu, _tu)."""
+        """Per level (_ctx, _w, _prob) of the rows of the state, and per level (_ctx, _cu, _tu).
+
+        Probabilities are written once per state; restaurant totals are an aggregation of the written
+        state, computed where they are used.
+        """
+        if self._priced is not None:
+            return self._priced
         probs, rooms = [], []
         for level in range(self.order):
             d, theta = _param(DISCOUNT, level), _param(CONCENTRATION, level)
             state = self.levels[level]
-            room = settle(self._restaurants(state))
+            room = self._restaurants(state)
             rows = spread_lookup(state, room, ["_ctx"], "_id")
             if level == 0:
                 parent = F.lit(self.base)
@@ -185,7 +193,8 @@ class Model:
             prob = (F.col("_c") - d * F.col("_t") + (theta + d * F.col("_tu")) * parent) / (theta + F.col("_cu"))
             probs.append(settle(rows.select("_ctx", "_w", prob.alias("_prob"))))
             rooms.append(room)
-        return probs + rooms
+        self._priced = probs + rooms
+        return self._priced
 
     def sweep(self, number: int) -> None:
         """One Gibbs sweep: deepest level first, each parent's customers from its children's new tables."""
@@ -204,6 +213,7 @@ class Model:
                 parent = probs[level - 1].select(F.col("_ctx").alias("_pctx"), "_w", F.col("_prob").alias("_p"))
                 rows = spread_lookup(rows.withColumn("_pctx", parent_of(level)), parent, ["_pctx", "_w"], "_id")
             self.levels[level] = settle(resample(rows, level, number))
+        self._priced = None
 
     def predictive(self, keys: DataFrame) -> DataFrame:
         """(_ctx, _w, _prob) for every key (_ctx, _w, _id) of the deepest level, seen in training or not."""
