@@ -13,6 +13,7 @@ and whether it is the most frequent pair of its B token.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -51,6 +52,8 @@ class Vocabularies:
     """Encoders and the bytes of every token of A (`tokenizers` byte-level) and B (sentencepiece)."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
+        # a task has its own cores: the library's thread pool would only spin beside the other tasks
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -150,24 +153,27 @@ def compose(left: dict, right: dict) -> dict:
 
 
 def fragments(keyed: DataFrame, a_path: str, b_path: str, piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """One fragment row per piece of every (_key, _text) row; no shuffle.
+    """One fragment row (with its row's _doc) per piece of every (_key, _doc, _text) row; no shuffle.
 
     Pieces are encoded and emitted ENCODE_CHARS characters at a time, so a task holds the encodings of
     about that much text, not of its whole input batch.
     """
     def emit(vocab: Vocabularies, pending: list[tuple[int, int, bool, str]]) -> pd.DataFrame:
-        encoded = vocab.encode([piece for _, _, _, piece in pending])
-        rows = [{"_key": key, "_piece": k, "_ok": ok and full} | fragment(vocab, a, b)
-                for (key, k, full, _), (a, b, ok) in zip(pending, encoded, strict=True)]
-        return pd.DataFrame(rows, columns=FIELDS)
+        encoded = vocab.encode([piece for *_, piece in pending])
+        rows = [{"_key": key, "_doc": doc, "_piece": k, "_ok": ok and full} | fragment(vocab, a, b)
+                for (key, doc, k, full, _), (a, b, ok) in zip(pending, encoded, strict=True)]
+        frame = pd.DataFrame(rows, columns=["_doc", *FIELDS])
+        # ids as objects: a null among integers would turn them into floats
+        frame["_doc"] = pd.Series([doc for _, doc, *_ in pending], dtype=object)
+        return frame
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab = vocabularies(a_path, b_path)
         pending, size = [], 0
         for batch in batches:
-            for key, text in zip(batch["_key"].tolist(), batch["_text"].tolist(), strict=True):
+            for key, doc, text in zip(batch["_key"].tolist(), batch["_doc"].tolist(), batch["_text"].tolist(), strict=True):
                 for k, piece in enumerate(cut(text or "", piece_chars)):
-                    pending.append((key, k, bool(text), piece))
+                    pending.append((key, doc, k, bool(text), piece))
                     size += len(piece)
                     if size >= ENCODE_CHARS:
                         yield emit(vocab, pending)
@@ -175,7 +181,8 @@ def fragments(keyed: DataFrame, a_path: str, b_path: str, piece_chars: int = PIE
         if pending:
             yield emit(vocab, pending)
 
-    return keyed.select("_key", "_text").mapInPandas(run, FRAGMENT)
+    return keyed.select("_key", "_doc", "_text").mapInPandas(
+        run, T.StructType([T.StructField("_doc", keyed.schema["_doc"].dataType), *FRAGMENT.fields]))
 
 
 def reduce_level(frags: DataFrame) -> DataFrame:
@@ -202,16 +209,22 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
     - Null and repeated doc_ids and repeated rows are separate rows; other columns are left aside
       whatever their names. An empty table gives no rows.
     """
-    keyed = settle(docs.select(
-        F.col(doc_id).alias("_doc"), F.col(text).alias("_text"),
-    ).withColumn("_key", F.monotonically_increasing_id()))
+    keyed = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).withColumn("_key", F.monotonically_increasing_id())
+    # keys are drawn in the same task that encodes, and written with the fragments: no copy of the texts is stored
     frags = settle(fragments(keyed, a_path, b_path, piece_chars))
+    ids = frags.where("_piece = 0").select("_key", "_doc")
+    frags = frags.drop("_doc")
     most = frags.agg(F.max("_piece")).first()[0] or 0
     whole = frags.drop("_la", "_lb")
+    # only documents of several pieces go up the tree; the others are whole already
+    long_keys = whole.where("_piece > 0").select("_key").distinct()
+    done = whole.join(long_keys, "_key", "left_anti")
+    open_ = whole.join(long_keys, "_key", "left_semi")
     empty = F.array().cast(FRAGMENT["_la"].dataType)
     while most > 0:
-        whole = settle(reduce_level(whole.withColumn("_la", empty).withColumn("_lb", empty)).drop("_la", "_lb"))
+        open_ = settle(reduce_level(open_.withColumn("_la", empty).withColumn("_lb", empty)).drop("_la", "_lb"))
         most //= FANOUT
+    whole = done.unionByName(open_)
     good = whole.where("_ok").select("_key")
     links = frags.select("_key", F.explode(F.arrays_zip(F.col("_la").alias("a"), F.col("_lb").alias("b"))).alias("_l")).join(
         good, "_key", "left_semi")
@@ -224,7 +237,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
         F.sum(F.col("_k") * F.col("_c")).alias("_count_sum"),
     )
     groups = F.concat_ws(";", F.concat_ws("|", "_pre_a", "_pre_b"), F.when(F.col("_groups") != "", F.col("_groups")))
-    out = keyed.select("_key", "_doc").join(whole, "_key").join(scored, "_key", "left")
+    out = ids.join(whole, "_key").join(scored, "_key", "left")
     ok = F.col("_ok")
     zero = F.lit(0).cast("long")
     return out.select(
