@@ -24,5 +24,5 @@ def test_query(spark, name):
         assert (columns, rows) == normal([d[0] for d in cursor.description], cursor.fetchall())
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 12, 13]
+def test_thirteen_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 14)]
