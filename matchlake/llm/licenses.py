@@ -1,8 +1,10 @@
 """License scans by conditional compression.
 
-Sentences near a marker are candidate blocks. Where a block has enough of a template's words close together, they are
-compressed alone and with the template as a raw zstandard dictionary; a template that saves is compared
-word by word, and if its wording is there, up to a few differences, it names the license. A block may hold several.
+Sentences near a marker are candidate blocks. Every window of a block that could hold a template is compressed alone and
+with the template as a raw zstandard dictionary: the templates that save enough bytes are candidates, the most saving
+first. A candidate is confirmed word by word: its wording must be there up to a few differences, none of them in a word
+that tells licenses apart. Where confirmed places overlap, the one whose template saves more of its bytes names the
+license. A block may hold several.
 """
 
 from __future__ import annotations
@@ -55,20 +57,28 @@ MARKERS = (
 )
 # a line break or a comment sign may stand between two words of a marker
 MARKER = "(?i)" + "|".join(m.replace(" ", "[^a-zA-Z0-9]{1,40}") for m in MARKERS)
+# fixed values: words by which licenses differ, so none may be missing or added; a version may not be missing
+TELLING = frozenset((
+    "not", "never", "lesser", "library", "affero", "gnu", "mozilla", "apache", "boost", "mit", "creative", "commons", "attribution",
+    "noncommercial", "non-commercial", "sharealike", "share-alike", "noderivatives", "noderivs", "nc", "sa", "nd", "later",
+))
+NEGATIONS = frozenset(("not", "never", "isn", "aren", "wasn", "weren"))
 
 
 @dataclass(frozen=True)
 class Scan:
-    """A template wins if at most `missing` of its words are absent and the words put between them are
-    at most that many again."""
+    """A template is a candidate where it saves at least `share` of the bytes that it saves on its own text; it wins if at
+    most `missing` of its words are absent and the words put between them are at most that many again."""
 
     missing: float = 0.1
     level: int = 9
+    share: float = 0.1
 
 
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 _SENTENCE = re.compile(r"[^\n]+?(?:(?<=[.!?:;])[ \t]+(?=\S)|\n|$)|\n")
 _MARKED = re.compile(MARKER)
+_VERSION = re.compile(r"v?(\d+(?:\.\d+)*)")
 
 
 def plain_words(text: str) -> list[str]:
@@ -84,6 +94,43 @@ def _dictionaries(level: int) -> list[tuple[str, list[str], zstandard.ZstdCompre
     return made
 
 
+@cache
+def _packer(level: int) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=level, write_content_size=False)
+
+
+@lru_cache(maxsize=20_000)
+def alone(data: bytes, level: int) -> int:
+    return len(_packer(level).compress(data))
+
+
+@lru_cache(maxsize=20_000)
+def saved_bytes(data: bytes, k: int, level: int) -> int:
+    """Bytes of the compressed data that template `k` saves as dictionary."""
+    return alone(data, level) - len(_dictionaries(level)[k][2].compress(data))
+
+
+@cache
+def _least(s: Scan) -> list[float]:
+    """The bytes each template must save: a share of those on its own text."""
+    return [max(1, s.share * saved_bytes(" ".join(t).encode(), k, s.level)) for k, (_, t, _) in enumerate(_dictionaries(s.level))]
+
+
+def candidates(words: list[str], s: Scan) -> list[tuple[int, int, int, int]]:
+    """(bytes saved, template, first word, word behind the last) of the windows where a template saves enough, the most first."""
+    found = []
+    for k, (_, template, _) in enumerate(_dictionaries(s.level)):
+        allowed = int(s.missing * len(template))
+        step = allowed + 1
+        # one of these holds any place of the template with all words added
+        size = len(template) + allowed + step
+        for a in range(0, max(1, len(words) - len(template) - allowed + step), step):
+            saved = saved_bytes(" ".join(words[a : a + size]).encode(), k, s.level)
+            if saved >= _least(s)[k]:
+                found.append((saved, k, a, min(a + size, len(words))))
+    return sorted(found, key=lambda f: (-f[0], *f[1:]))
+
+
 @cache
 def longest_gap(s: Scan) -> int:
     """The most words without a marker in a row in any template, and the words that may be put between them."""
@@ -132,6 +179,19 @@ def blocks(text: str, gap: int) -> list[list[tuple[int, int]]]:
     return found
 
 
+def versions(words: list[str]) -> set[str]:
+    return {m[1] for m in map(_VERSION.fullmatch, words) if m}
+
+
+def tells(template: list[str], words: list[str], inner: list[tuple[str, int, int, int, int]]) -> bool:
+    """The differences hold a telling word, or a version of the template is nowhere in the place."""
+    other = template[: inner[0][1]] + template[inner[-1][2] :]
+    for o in inner:
+        if o[0] != "equal":
+            other = other + template[o[1] : o[2]] + words[o[3] : o[4]]
+    return any(not TELLING.isdisjoint((w, *w.split("-"))) for w in other) or not versions(template) <= versions(words[inner[0][3] : inner[-1][4]])
+
+
 def aligned(template: list[str], words: list[str], allowed: int) -> tuple[int, int, int, int, str] | None:
     """(first word, word behind the last, words missing, words added, the differences) of the template in `words`."""
     steps = SequenceMatcher(None, template, words, autojunk=False).get_opcodes()
@@ -143,7 +203,8 @@ def aligned(template: list[str], words: list[str], allowed: int) -> tuple[int, i
             inner = steps[a : b + 1]
             kept = sum(o[2] - o[1] for o in inner if o[0] == "equal")
             added = sum(o[4] - o[3] for o in inner if o[0] != "equal")
-            if len(template) - kept <= allowed and added <= allowed and (best is None or kept > best[0]):
+            if (len(template) - kept <= allowed and added <= allowed and (best is None or kept > best[0])
+                    and not tells(template, words, inner)):
                 best = (kept, added, inner)
     if best is None:
         return None
@@ -156,40 +217,31 @@ def aligned(template: list[str], words: list[str], allowed: int) -> tuple[int, i
 
 
 @lru_cache(maxsize=20_000)
-def confirmed(words: tuple[str, ...], k: int, s: Scan) -> tuple[int, int, float, int, int, str] | None:
-    """(first word, word behind the last, share of the compressed size saved, words missing, words added, the differences)."""
-    _, template, packer = _dictionaries(s.level)[k]
-    place = aligned(template, list(words), int(s.missing * len(template)))
+def confirmed(words: tuple[str, ...], k: int, s: Scan) -> tuple[int, int, int, tuple[float, int, int, str]] | None:
+    """(first word, word behind the last, bytes saved, (share of the compressed size saved, words missing, words added, the
+    differences))."""
+    _, template, _ = _dictionaries(s.level)[k]
+    allowed = int(s.missing * len(template))
+    # with more of its words absent, no alignment can confirm it
+    if (Counter(words) & Counter(template)).total() < len(template) - allowed:
+        return None
+    place = aligned(template, list(words), allowed)
     if place is None:
         return None
     data = " ".join(words[place[0] : place[1]]).encode()
-    alone = len(zstandard.ZstdCompressor(level=s.level, write_content_size=False).compress(data))
-    saved = 1 - len(packer.compress(data)) / alone
-    return (*place[:2], round(saved, 6), *place[2:]) if saved > 0 else None
+    saved = saved_bytes(data, k, s.level)
+    return (*place[:2], saved, (round(saved / alone(data, s.level), 6), *place[2:])) if saved > 0 else None
 
 
 def recognised(words: list[str], s: Scan) -> list[tuple[int, int, tuple[str, float, int, int, str]]]:
     """(first word, word behind the last, (license, share of the compressed size saved, words missing, words added, the
-    differences)) for each license text in the words; where two overlap, the one with more words counts."""
+    differences)) for each license text in the words; where two overlap, the one that saves more bytes counts."""
     found = []
-    for k, (name, template, _) in enumerate(_dictionaries(s.level)):
-        allowed = int(s.missing * len(template))
-        own, count = set(template), Counter(template)
-        upto = [0]
-        for w in words:
-            upto.append(upto[-1] + (w in own))
-        least, step = len(template) - allowed, allowed + 1
-        # one of these holds any place of the template with all words added
-        size = len(template) + allowed + step
-        for a in range(0, max(1, len(words) - len(template) - allowed + step), step):
-            b = min(a + size, len(words))
-            if upto[b] - upto[a] < least or (Counter(words[a:b]) & count).total() < least:
-                continue
-            if told := confirmed(tuple(words[a:b]), k, s):
-                found.append((told[3] - len(template), a + told[0], a + told[1], (name, *told[2:])))
-    found.sort(key=lambda f: f[:3])
+    for _, k, at, end in candidates(words, s):
+        if told := confirmed(tuple(words[at:end]), k, s):
+            found.append((-told[2], told[3][1], at + told[0], at + told[1], (_dictionaries(s.level)[k][0], *told[3])))
     chosen: list[tuple[int, int, tuple[str, float, int, int, str]]] = []
-    for _, a, b, told in found:
+    for _, _, a, b, told in sorted(found):
         if all(b <= c or d <= a for c, d, _ in chosen):
             chosen.append((a, b, told))
     return sorted(chosen)
@@ -204,7 +256,10 @@ def scanned(text: str, s: Scan) -> list[tuple[int, int, tuple[str, float, int, i
             own = plain_words(text[a:b])
             words += own
             unit += [n] * len(own)
-        found += [(units[unit[a]][0], units[unit[b - 1]][1], told) for a, b, told in recognised(words, s)]
+        for a, b, told in recognised(words, s):
+            before = [w for w, n in zip(words[max(0, a - 3) : a], unit[max(0, a - 3) : a], strict=True) if n == unit[a]]
+            if NEGATIONS.isdisjoint(before):
+                found.append((units[unit[a]][0], units[unit[b - 1]][1], told))
     return found
 
 
@@ -218,7 +273,7 @@ def find_licenses(
     """One row per license block: doc_id, license (SPDX id), start and end (code points of the text), saved,
     words_missing, words_added, wording (the differences; empty where the wording is exact).
 
-    - Null and empty texts and texts without a marker give no rows. Null and repeated doc_ids and repeated
+    - Null and empty texts and texts without a marker give no rows, nor does a license that its sentence negates just before. Null and repeated doc_ids and repeated
       rows are scanned like any other. Other columns are left aside. An empty table gives no rows.
 
     Texts without a marker are dropped by a plain SQL filter before anything goes to Python. No shuffle; a

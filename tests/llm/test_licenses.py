@@ -1,6 +1,6 @@
 import textwrap
 
-from matchlake.llm.licenses import TEMPLATES, find_licenses
+from matchlake.llm.licenses import TEMPLATES, Scan, candidates, find_licenses, plain_words, recognised
 
 MIT = next(t for n, t in TEMPLATES if n == "MIT" and len(t) > 100)
 
@@ -65,3 +65,38 @@ def test_corpus(spark):
     table = spark.read.parquet(f"{sf}/documents.parquet")
     want = sorted((r.doc_id, notices[x]) for r in table.collect() for x in (r.text or "").split("\n") if x in notices)
     assert found(find_licenses(table)) == want
+
+
+def test_compression_chooses_and_ranks():
+    """Candidates come by bytes saved; of overlapping confirmed places the one that saves more counts."""
+    s = Scan()
+    by_name = {n: max((t for m, t in TEMPLATES if m == n), key=len) for n, _ in TEMPLATES}
+    words = plain_words("as told before " + by_name["BSD-3-Clause"] + " and so on")
+    ranked = candidates(words, s)
+    assert [f[0] for f in ranked] == sorted((f[0] for f in ranked), reverse=True)
+    assert list(dict.fromkeys(TEMPLATES[f[1]][0] for f in ranked))[:2] == ["BSD-3-Clause", "BSD-2-Clause"]
+    assert [told[0] for _, _, told in recognised(words, s)] == ["BSD-3-Clause"]
+    assert candidates(plain_words("1 2 3 4 5 6 7 8 9"), s) == []
+
+
+def test_long_and_repetitive_blocks():
+    """A text beside hundreds of equal words is found, wherever it stands, and each copy once."""
+    s, notice = Scan(), plain_words("Licensed under CC BY-NC 4.0.")
+    for at in (0, 1, 300):
+        words = ["tithre"] * at + plain_words("Anreti the atshin torestouti heshly") + notice + ["that"] * 200 + plain_words(MIT)
+        assert [(a, told[0]) for a, _, told in recognised(words, s)] == [(at + 5, "CC-BY-NC-4.0"), (at + 5 + len(notice) + 200, "MIT")]
+
+
+def test_words_that_tell_licenses_apart(spark, docs):
+    gpl = next(t for n, t in TEMPLATES if n == "GPL-3.0-or-later")
+    cc = "This work is licensed under a Creative Commons {} International License."
+    work = "This work is licensed under the GNU {}."
+    texts = [
+        cc.format("Attribution-NonCommercial 4.0"), cc.format("Attribution-ShareAlike 4.0"), cc.format("Attribution 3.0"),
+        work.format("Lesser General Public License, version 2.1"), work.format("General Public License, version 1"),
+        gpl.replace("GNU General", "GNU Affero General"), gpl.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1"),
+        "This file is not released under the MIT License.",
+    ]
+    assert found(find_licenses(docs(list(enumerate(texts))))) == []
+    kept = [cc.format("Attribution 4.0"), "It is not.\nReleased under the MIT License.", gpl.replace("redistribute it", "give it away")]
+    assert found(find_licenses(docs(list(enumerate(kept))))) == [(0, "CC-BY-4.0"), (1, "MIT"), (2, "GPL-3.0-or-later")]
