@@ -5,7 +5,8 @@ from collections import Counter
 
 import pytest
 
-from matchlake.llm.alignment import compose, cut, vocabularies, align
+from matchlake.llm import alignment
+from matchlake.llm.alignment import SAFE_CUT, Words, align, compose, cut, vocabularies, words
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +110,40 @@ def test_pieces_compose_to_the_whole(paths):
 def test_empty_table(spark, paths):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert align(docs, *paths).count() == 0
+
+
+def test_stored_pieces_are_small(spark, paths):
+    """A text of one piece is stored as a digest and its distinct links: no text of groups, no link twice."""
+    docs = spark.createDataFrame([(0, 1, "to be or not to be " * 2000), (1, 2, None)], "_key long, _doc long, _text string")
+    row, none = alignment.fragments(docs, *paths).orderBy("_key").collect()
+    assert len(row._sha) == 64 and row._groups == row._pre_a == row._pre_b == ""
+    assert len(set(zip(row._la, row._lb))) == len(row._la) < 10 and sum(row._lk) == row._ngroups + 1 > 10_000
+    assert not none._ok and none._la == []
+
+
+def test_shares_of_documents_and_pairs(spark, paths, rows, monkeypatch):
+    monkeypatch.setattr(alignment, "SHARE_LINKS", 20)
+    monkeypatch.setattr(alignment, "SHARE_PAIRS", 10)
+    monkeypatch.setattr(alignment, "FANOUT", 4)
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    for piece_chars in (50, 1 << 18):
+        assert rows(align(docs, *paths, piece_chars=piece_chars)) == brute(TEXTS, *paths)
+
+
+def test_words_beside_white_space_and_forgotten_words(paths, monkeypatch):
+    texts = [t for _, t in TEXTS if t] + [" a", "a ", "a  b", "a\n b", "a \tb c", "\u3000a b", "a\x85 b", "e\u0301 x \ufb01 y", "x" * 70_000 + " y", " ", "<s> </s> x"]
+    for text in texts:
+        assert words(text) == SAFE_CUT.split(text)
+    vocab = vocabularies(*paths)
+    monkeypatch.setattr(alignment, "REMEMBERED", 20)
+    known = Words(vocab)
+    for text in texts:
+        known.learn(words(text))
+        which = [known.number[w] for w in words(text)]
+        (a, b, ok), = vocab.encode([" " + text])
+        assert ok == all(known.counts[w][2] >= 0 for w in which), text
+        if ok:
+            whole = alignment.fragment(vocab, a, b)
+            assert known.counts[which].sum(axis=0).tolist() == [len(a), len(b), whole["_ngroups"] + 1]
+            assert ";".join(known.text[w] for w in which) == ";".join(
+                x for x in (f"{whole['_pre_a']}|{whole['_pre_b']}", whole["_groups"]) if x)
