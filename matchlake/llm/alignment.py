@@ -125,12 +125,16 @@ def _join(left: str, right: str, mark: str = ",") -> str:
     return f"{left}{mark}{right}" if left and right else left or right
 
 
-def fragment(vocab: Vocabularies, a: np.ndarray, b: np.ndarray) -> dict:
-    """The fragment of one piece's tokens: counts, open prefix, closed groups and open suffix."""
+def common_ends(vocab: Vocabularies, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte offsets where tokens of both end, and the number of A and of B tokens up to each."""
     a_end, b_end = np.cumsum(vocab.a_len[a]), np.cumsum(vocab.b_len[b])
     common = np.intersect1d(a_end, b_end, assume_unique=True)
-    a_cut = np.searchsorted(a_end, common, side="right")
-    b_cut = np.searchsorted(b_end, common, side="right")
+    return common, np.searchsorted(a_end, common, side="right"), np.searchsorted(b_end, common, side="right")
+
+
+def fragment(vocab: Vocabularies, a: np.ndarray, b: np.ndarray) -> dict:
+    """The fragment of one piece's tokens: counts, open prefix, closed groups and open suffix."""
+    common, a_cut, b_cut = common_ends(vocab, a, b)
     if not len(common):
         return {"_na": len(a), "_nb": len(b), "_closed": False, "_pre_a": _ids(a), "_pre_b": _ids(b),
                 "_groups": "", "_ngroups": 0, "_suf_a": "", "_suf_b": ""}
@@ -219,8 +223,7 @@ class Words:
         v = self.vocab
         (a, b, ok), = v.encode([" " + " ".join(go)])
         if ok:
-            a_end, b_end = np.cumsum(v.a_len[a]), np.cumsum(v.b_len[b])
-            common = np.intersect1d(a_end, b_end, assume_unique=True)
+            common, a_cut, b_cut = common_ends(v, a, b)
             ends = np.cumsum([len(w.encode()) + 1 for w in go])
             last = np.searchsorted(common, ends)
             ok = bool((last < len(common)).all()) and bool((common[last] == ends).all())
@@ -233,7 +236,6 @@ class Words:
             self._encode(go[:half], counts, links)
             self._encode(go[half:], counts, links)
             return
-        a_cut, b_cut = np.searchsorted(a_end, common, side="right"), np.searchsorted(b_end, common, side="right")
         a_text, b_text = [str(i) for i in a.tolist()], [str(i) for i in b.tolist()]
         groups, x, y = [], 0, 0
         for i, j in zip(a_cut.tolist(), b_cut.tolist(), strict=True):
@@ -325,9 +327,9 @@ def reduce_level(frags: DataFrame) -> DataFrame:
 
 
 def scored_links(links: DataFrame, entries: int) -> DataFrame:
-    """(_key, _n_best, _count_sum) of rows (_key, _la, _lb, _lk) with `entries` links in all, counted over all rows.
+    """(_key, _n_best, _count_sum) of rows (_key, _piece, _la, _lb, _lk) with `entries` links in all, counted over all rows.
 
-    Documents are dealt out in shares of about SHARE_LINKS links; each share meets a copy of the pair counts, itself
+    Pieces are dealt out in shares of about SHARE_LINKS links; each share meets a copy of the pair counts, itself
     cut where it has more than SHARE_PAIRS pairs.
     """
     pairs = links.select(F.explode(F.arrays_zip("_la", "_lb", "_lk")).alias("_l")).groupBy(
@@ -336,7 +338,7 @@ def scored_links(links: DataFrame, entries: int) -> DataFrame:
     best = pairs.groupBy("_b").agg(F.max("_c").alias("_top"))
     counted = pairs.join(best, "_b").select("_a", "_b", "_c", (F.col("_c") == F.col("_top")).alias("_best"))
     shares, parts = 1 + entries // SHARE_LINKS, 1 + pairs.count() // SHARE_PAIRS
-    left = links.withColumn("_share", F.pmod(F.xxhash64("_key"), F.lit(shares))).withColumn(
+    left = links.withColumn("_share", F.pmod(F.xxhash64("_key", "_piece"), F.lit(shares))).withColumn(
         "_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
     right = counted.withColumn("_part", F.pmod(F.xxhash64("_a", "_b"), F.lit(parts)).cast("long")).withColumn(
         "_share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))))
@@ -383,7 +385,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
     entries, most = frags.agg(F.sum(F.size("_la")), F.max("_piece")).first()
     # only documents of several pieces go up the tree; the others are whole already
     done = frags.where("_pieces = 1").select("_key", "_doc", "_ok", "_na", "_nb", "_ngroups", "_sha")
-    links = frags.where("_pieces = 1").select("_key", "_la", "_lb", "_lk")
+    links = frags.where("_pieces = 1").select("_key", "_piece", "_la", "_lb", "_lk")
     if most:
         tall = frags.where("_pieces > 1")
         open_ = tall.select(FIELDS)
@@ -395,7 +397,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
         done = done.unionByName(tall.where("_piece = 0").select("_key", "_doc").join(
             open_.select("_key", "_ok", "_na", "_nb", "_ngroups", "_sha"), "_key"))
         # links of a text count only where all of its pieces are joined to their bytes
-        links = links.unionByName(tall.select("_key", "_la", "_lb", "_lk").join(open_.where("_ok").select("_key"), "_key"))
+        links = links.unionByName(tall.select("_key", "_piece", "_la", "_lb", "_lk").join(open_.where("_ok").select("_key"), "_key"))
     out = done.join(scored_links(links, entries or 0), "_key", "left")
     ok = F.col("_ok")
     zero = F.lit(0).cast("long")
