@@ -8,28 +8,34 @@ parent's counts.
 
 Seating is sampled by Gibbs: one (context, word) row at a time its customers are seated anew given
 everything else (a block step of the Chinese restaurant process with the parent's predictive
-probability), rows of a level in parallel Spark tasks given the state of the step before, levels from
-the longest context to the empty one, so that each parent's customers are its children's tables.
-Only the number of tables of a row matters for the next steps, and it is drawn exactly: the step of
-the next new table is found by binary search of the process's survival function (log-gamma), so a row
-costs its number of tables times log of its customers. After BURN_IN sweeps, each of SAMPLES sweeps
-gives predictive probabilities of every (context, word) of the table; their mean scores the texts.
+probability), rows in parallel given the state of the step before, levels from the longest context to
+the empty one, so that each parent's customers are its children's tables. Only the number of tables
+of a row matters for the next steps. After BURN_IN sweeps, each of SAMPLES sweeps gives predictive
+probabilities of every (context, word) of the table; their mean scores the texts.
+
+The work is dealt by a context's last word: a shard holds all levels but the empty context for its
+words, so a row, its parent and its restaurant meet in one task, and the occurrences are shuffled
+once. What shards share goes through buckets after every sweep: the customers of the words in the
+empty context, which are seated there, and the totals of the restaurants that end in a very
+frequent word, whose rows are spread over several shards by the word that follows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake.llm.columns import LOWER, UPPER
+from matchlake.llm.ragged import chunks
+from matchlake.llm.seating import Layout, Shard, contexts, deal, dump, hashes, load, rises, seat, tables, tokens
 from matchlake.session import new_scratch
-from matchlake.llm.spread import spread_lookup
+
+__all__ = ["END", "Model", "occurrences", "op11_lm_scoring", "score", "tables"]
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 # a word has no ASCII white space, so neither the end token nor the padding before the first word is one
@@ -41,79 +47,44 @@ CONCENTRATION = (1.0, 1.0, 1.0)
 BURN_IN, SAMPLES = 2, 2
 SEED = 20_241_202
 HELD_OUT_MOD, HELD_OUT_REST = 7, 2
+# tokens that a shard should hold, and tokens that a task deals out at a time
+SHARD_TOKENS, DEAL_TOKENS = 2_000_000, 5_000_000
+# the shards are priced in so many turns, so that only one turn's shuffle is on disk
+PRICE_TURNS = 4
+# a task reports the words that are at least this share of its tokens
+HEAVY = 1 / 4000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# kinds of messages; `sweep` counts from 0, -1 is the state before the first
+PIECE, DOCS, SHARD, SEEN, SEATS, UP, DOWN, TOTAL, SUMS = range(9)
+MESSAGE = T.StructType([
+    T.StructField("to", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("sweep", T.IntegerType()),
+    T.StructField("src", T.LongType()), T.StructField("body", T.BinaryType()),
+])
+ARROW = pa.schema([("to", pa.int64()), ("kind", pa.int32()), ("sweep", pa.int32()), ("src", pa.int64()), ("body", pa.binary())])
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """`df` written once as Parquet to the shared folder and read again: lineage cut, computed once."""
-    path = new_scratch(df.sparkSession, "pitman-yor")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _param(values: tuple[float, ...], level: int) -> float:
-    return values[min(level, len(values) - 1)]
+def messages(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, ARROW.types, strict=True)], schema=ARROW)
 
 
-def tables(customers: int, others: int, p: float, d: float, theta: float, rng: np.random.Generator) -> int:
-    """Tables of `customers` seated one by one in a restaurant that has `others` tables of other words.
+def settle(df: DataFrame) -> DataFrame:
+    """Messages written once as Parquet to the shared folder, a folder for each kind, and read again.
 
-    The k-th customer (k from 0) opens a new table with probability a / (k - d t + a), a = (theta +
-    d (others + t)) p, t the tables so far. The step of the next new table is drawn from the survival
-    function prod (i - d t) / (i - d t + a) = G(j - d t) G(k - d t + a) / (G(k - d t) G(j - d t + a)).
+    The shuffles behind them are not needed after that; Spark is asked to remove their files.
     """
-    if customers <= 0:
-        return 0
-    t, k = 1, 1
-    while k < customers:
-        a = (theta + d * (others + t)) * p
-        x = k - d * t
-        start = math.lgamma(x + a) - math.lgamma(x)
-        mark = math.log(1.0 - rng.random())
-
-        def log_survival(j: int) -> float:
-            return math.lgamma(j - d * t) - math.lgamma(j - d * t + a) + start  # noqa: B023
-
-        if log_survival(customers) >= mark:
-            break
-        low, high = k, customers  # log_survival(low) >= mark > log_survival(high)
-        while high - low > 1:
-            middle = (low + high) // 2
-            if log_survival(middle) >= mark:
-                low = middle
-            else:
-                high = middle
-        t, k = t + 1, high
-    return t
-
-
-RESAMPLED = T.StructType([
-    T.StructField("_ctx", T.StringType()), T.StructField("_w", T.StringType()), T.StructField("_c", T.LongType()),
-    T.StructField("_id", T.LongType()), T.StructField("_t", T.LongType()),
-])
-
-
-def resample(rows: DataFrame, level: int, sweep: int) -> DataFrame:
-    """(_ctx, _w, _c, _id, _t): new tables of rows with _others and _p; seeded by row and sweep, so a task run again draws alike."""
-    d, theta = _param(DISCOUNT, level), _param(CONCENTRATION, level)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids = batch["_id"].to_numpy()
-            counts = batch["_c"].to_numpy()
-            others = batch["_others"].to_numpy()
-            probs = batch["_p"].to_numpy()
-            out = np.minimum(counts, 1)
-            for i in np.flatnonzero(counts > 1):
-                rng = np.random.default_rng([SEED, sweep, level, int(ids[i]) & (2**63 - 1)])
-                out[i] = tables(int(counts[i]), int(others[i]), float(probs[i]), d, theta, rng)
-            yield pd.DataFrame({"_ctx": batch["_ctx"], "_w": batch["_w"], "_c": counts, "_id": ids, "_t": out.astype(np.int64)})
+    spark = df.sparkSession
+    path, was = new_scratch(spark, "pitman-yor"), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.partitionBy("kind").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if was is None else spark.conf.set(CLEANUP, was)
+    return spark.read.schema(MESSAGE).parquet(path).select(*MESSAGE.names)
 
-    return rows.select("_ctx", "_w", "_c", "_id", "_others", "_p").mapInPandas(run, RESAMPLED)
 
-
-def parent_of(level: int, ctx: str = "_ctx"):  # noqa: ANN201
-    """The context of the parent restaurant: without the first word."""
-    return F.substring_index(F.col(ctx), " ", -(level - 1)) if level > 1 else F.lit("")
+def _param(values: tuple[float, ...], level: int) -> float:
+    return values[min(level, len(values) - 1)]
 
 
 def occurrences(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -142,102 +113,360 @@ def occurrences(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", tex
     )
 
 
+def heavy_words(docs: DataFrame, text: str) -> DataFrame:
+    """(_word, _n): hashes of words that are frequent among a task's tokens; null: all tokens."""
+    end = hashes([END])[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in chunks(batch, text):
+                flat, _ = tokens(data, offsets, end)
+                names, counts = np.unique(flat, return_counts=True)
+                many = counts >= HEAVY * len(flat)
+                yield pa.record_batch({
+                    "_word": pa.array([None, *names[many].view(np.int64).tolist()], pa.int64()),
+                    "_n": pa.array([len(flat), *counts[many].tolist()], pa.int64()),
+                })
+
+    return docs.select(text).mapInArrow(run, "_word long, _n long").groupBy("_word").agg(F.sum("_n").alias("_n"))
+
+
+def layout_of(counts: DataFrame, order: int) -> Layout:
+    """Shards for as many tokens as `counts` (_word, _n) tells, frequent words spread by their share of a shard."""
+    spread = SHARD_TOKENS // 2
+    found = counts.where(F.col("_word").isNull() | (F.col("_n") > spread)).collect()
+    shards = max(1, -(-sum(r._n for r in found if r._word is None) // SHARD_TOKENS))
+    hot = sorted((np.int64(r._word).view(np.uint64), min(shards, -(-r._n // spread))) for r in found if r._word is not None)
+    hot = hot if shards > 1 else []
+    return Layout(order, shards, np.array([h for h, _ in hot], dtype=np.uint64), np.array([n for _, n in hot], dtype=np.uint64))
+
+
+def _chunk_id(task: int, number: int) -> int:
+    return (task << 32) + number
+
+
+def _docs_body(docs: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, docs.schema) as out:
+        out.write_table(docs)
+    return sink.getvalue().to_pybytes()
+
+
+def text_pieces(docs: DataFrame, text: str, layout: Layout, source: int = 0) -> DataFrame:
+    """Messages to the shards: the occurrences of every chunk of documents; and the chunk's other columns
+    with `_n`, their numbers of tokens. A document learns where `_train` is true."""
+    end, pad = hashes([END, PAD])
+    other = [c for c in docs.columns if c != text]
+
+    def dealt(chunk: int, held: list) -> pa.Table:
+        names, ids = np.unique(np.concatenate([*(f for f, _, _ in held), [pad]]), return_inverse=True)
+        ids, pad_id = ids[:-1].astype(np.int32), ids[-1]
+        counts = np.concatenate([n for _, n, _ in held])
+        rows = pa.Table.from_batches([b for _, _, b in held])
+        learn = rows["_train"].combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64)
+        doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        out = [(s, PIECE, -1, chunk, body) for s, body in deal(
+            names, contexts(ids, counts, pad_id, layout.order), ids, doc, np.ones(len(ids), dtype=np.int8), learn, layout)]
+        return messages([*out, (chunk % layout.shards, DOCS, -1, chunk, _docs_body(rows.append_column("_n", pa.array(counts))))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+        for batch in batches:
+            kept = batch.select(other)
+            for part, data, offsets in chunks(batch, text):
+                flat, counts = tokens(data, offsets, end)
+                held.append((flat, counts, kept.slice(part.start, part.stop - part.start)))
+                size += len(flat)
+                if size >= DEAL_TOKENS:
+                    yield from dealt(_chunk_id(2 * task + source, number), held).to_batches()
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield from dealt(_chunk_id(2 * task + source, number), held).to_batches()
+
+    return docs.mapInArrow(run, MESSAGE)
+
+
+def row_pieces(rows: DataFrame, layout: Layout, source: int) -> DataFrame:
+    """The same of rows (_ctx, _w, _k, _train): `_ctx` holds words separated by single spaces."""
+    order = layout.order
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            if not batch.num_rows:
+                continue
+            chunk, n = _chunk_id(2 * task + source, number), batch.num_rows
+            split = [c.split(" ") for c in batch["_ctx"].to_pylist()]
+            back = [[c[-k] if len(c) >= k else PAD for c in split] for k in range(1, order)]
+            names, ids = np.unique(hashes([w for c in [*back, batch["_w"].to_pylist()] for w in c]), return_inverse=True)
+            *ctx, word = ids.reshape(order, n)
+            learn = batch["_train"].to_numpy(zero_copy_only=False).astype(np.int64)
+            out = [(s, PIECE, -1, chunk, body) for s, body in deal(
+                names, ctx, word, np.arange(n), batch["_k"].to_numpy(), learn, layout)]
+            table = pa.Table.from_batches([batch]).append_column("_n", pa.array(np.ones(n, dtype=np.int64)))
+            yield from messages([*out, (chunk % layout.shards, DOCS, -1, chunk, _docs_body(table))]).to_batches()
+
+    return rows.mapInArrow(run, MESSAGE)
+
+
+def _of(table: pa.Table, kind: int, sweep: int | None = None) -> list[tuple[int, bytes]]:
+    """(src, body) of one kind, sorted by src."""
+    found = zip(*(table[c].to_pylist() for c in ("kind", "sweep", "src", "body")), strict=True)
+    return sorted((s, b) for k, n, s, b in found if k == kind and sweep in (None, n))
+
+
+def _sliced(keys: np.ndarray, buckets: int) -> list[np.ndarray]:
+    """Places of the keys of each bucket, in the order of the keys."""
+    bucket = keys % np.uint64(buckets)
+    by = np.argsort(bucket, kind="stable")
+    return np.split(by, np.searchsorted(bucket[by], np.arange(1, buckets, dtype=np.uint64)))
+
+
+def _flat(arrays: list[np.ndarray], dtype: type) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, dtype=dtype)
+
+
+def _room_sums(shard: Shard, seats: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Customers and tables that this shard has in the rooms it shares."""
+    customers = shard.customers(seats)
+    parts = [[shard.totals(k, v[k - 1])[shard.shared[k - 1]] for k in range(1, shard.depth + 1)] for v in (customers, seats)]
+    return _flat(parts[0], np.int64), _flat(parts[1], np.int64)
+
+
+class Totals:
+    """What the buckets answered to a shard: per word customers, tables and learnt count of level 0, per shared room totals."""
+
+    def __init__(self, shard: Shard, down: list[tuple[int, bytes]], shards: int) -> None:
+        rooms = _flat(shard.shared_names, np.uint64)
+        self.word_at, self.room_at = _sliced(shard.names, shards), _sliced(rooms, shards)
+        words = np.zeros((4, len(shard.names)), dtype=np.int64)
+        shared = np.zeros((3, len(rooms)), dtype=np.int64)
+        for bucket, body in down:
+            answer = load(body)
+            words[:, self.word_at[bucket]] = [np.cumsum(answer[0]), *answer[1:4]]
+            shared[:, self.room_at[bucket]] = answer[4:]
+        self.word, self.customers, self.tables, self.known = words
+        self.room = shared[0]
+        cuts = np.cumsum([len(s) for s in shard.shared])[:-1]
+        self.room_customers, self.room_tables = np.split(shared[1], cuts), np.split(shared[2], cuts)
+
+
+def _first_up(shard: Shard, seats: list[np.ndarray], index: int, shards: int) -> list[tuple]:
+    rooms, sums = _flat(shard.shared_names, np.uint64), shard.sums(seats)
+    customers, seated = _room_sums(shard, seats)
+    return [
+        (b, UP, -1, index, dump(rises(shard.names[w]), sums[w], shard.known[w], rooms[r], customers[r], seated[r]))
+        for b, (w, r) in enumerate(zip(_sliced(shard.names, shards), _sliced(rooms, shards), strict=True)) if len(w) or len(r)
+    ]
+
+
+def _next_up(shard: Shard, seats: list[np.ndarray], totals: Totals, sweep: int, index: int) -> list[tuple]:
+    sums = shard.sums(seats)
+    customers, seated = _room_sums(shard, seats)
+    return [
+        (b, UP, sweep, index, dump(rises(totals.word[w]), sums[w], totals.tables[w], totals.room[r], customers[r], seated[r]))
+        for b, (w, r) in enumerate(zip(totals.word_at, totals.room_at, strict=True)) if len(w) or len(r)
+    ]
+
+
+def build_shards(pieces: DataFrame, layout: Layout) -> DataFrame:
+    """The shards, their occurrences by chunk, first tables and first sums."""
+
+    def run(table: pa.Table) -> pa.Table:
+        index = table["to"][0].as_py()
+        out = [(src, DOCS, -1, src, body) for src, body in _of(table, DOCS)]
+        if found := _of(table, PIECE):
+            del table
+            shard, seen = Shard.build([b for _, b in found], layout)
+            out += [(index, SEEN, -1, src, body) for (src, _), body in zip(found, seen, strict=True)]
+            seats = shard.start()
+            out += [(index, SHARD, -1, index, shard.dump()), (index, SEATS, -1, index, shard.dump_seats(seats))]
+            out += _first_up(shard, seats, index, layout.shards)
+        return messages(out)
+
+    return pieces.groupBy("to").applyInArrow(run, MESSAGE)
+
+
+def exchange(ups: DataFrame, sweep: int, before: tuple[int, int, int, int], first: bool) -> DataFrame:
+    """Sums over all shards to every shard that sent some; level 0 is seated here, as the last level of a sweep."""
+    d, theta = _param(DISCOUNT, 0), _param(CONCENTRATION, 0)
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table["to"][0].as_py()
+        found = [(src, load(body)) for src, body in _of(table, UP)]
+        words, rooms = [len(x[0]) for _, x in found], [len(x[3]) for _, x in found]
+        sums, third, customers, seated = (np.concatenate([x[k] for _, x in found]) for k in (1, 2, 4, 5))
+        if first:
+            names = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for _, x in found])
+            word, room = (np.unique(k, return_inverse=True)[1] for k in (names, np.concatenate([x[3] for _, x in found])))
+        else:
+            word, room = np.concatenate([np.cumsum(x[0]) for _, x in found]), np.concatenate([x[3] for _, x in found])
+        c0, cu, tu = (np.bincount(at, weights=v).astype(np.int64) for at, v in ((word, sums), (room, customers), (room, seated)))
+        known = np.zeros(len(c0), dtype=np.int64)
+        if first:
+            known = np.bincount(word, weights=third).astype(np.int64)
+            t0 = np.minimum(c0, 1)
+        else:
+            was = np.zeros(len(c0), dtype=np.int64)
+            was[word] = third
+            base = np.full(len(c0), 1.0 / (before[3] + 1))
+            t0 = seat(c0, before[1] - was, base, d, theta, np.random.default_rng([SEED, sweep, 0, bucket]))
+        out = [(bucket, TOTAL, sweep, bucket, dump(np.array([c0.sum(), t0.sum(), known.sum(), (known > 0).sum()])))]
+        word_ends, room_ends = np.cumsum(words), np.cumsum(rooms)
+        for k, (src, _) in enumerate(found):
+            w, r = word[word_ends[k] - words[k] : word_ends[k]], room[room_ends[k] - rooms[k] : room_ends[k]]
+            out.append((src, DOWN, sweep, bucket, dump(rises(w), c0[w], t0[w], known[w], r, cu[r], tu[r])))
+        return messages(out)
+
+    return ups.groupBy("to").applyInArrow(run, MESSAGE)
+
+
+def probabilities(shard: Shard, seats: list[np.ndarray], totals: Totals, level0: tuple[int, int, int, int]) -> list[np.ndarray]:
+    """Predictive probability of the rows of every level, 0 first."""
+    customers0, tables0, _, vocabulary = level0
+    d, theta = _param(DISCOUNT, 0), _param(CONCENTRATION, 0)
+    out = [(totals.customers - d * totals.tables + (theta + d * tables0) / (vocabulary + 1)) / (theta + customers0)]
+    customers = shard.customers(seats)
+    for level in range(1, shard.depth + 1):
+        d, theta = _param(DISCOUNT, level), _param(CONCENTRATION, level)
+        room, c, t = shard.rooms[level - 1], customers[level - 1], seats[level - 1]
+        cu, tu = shard.joined(level, c, totals.room_customers), shard.joined(level, t, totals.room_tables)
+        out.append((c - d * t + (theta + d * tu[room]) * out[-1][shard.parents[level - 1]]) / (theta + cu[room]))
+    return out
+
+
+def sweep_shards(state: DataFrame, sweep: int, level0: tuple[int, int, int, int], shards: int) -> DataFrame:
+    """One Gibbs sweep over the local levels, the deepest first, given the probabilities of the state before."""
+
+    def run(table: pa.Table) -> pa.Table:
+        index = table["to"][0].as_py()
+        shard = Shard.load(_of(table, SHARD)[0][1])
+        seats, totals = shard.load_seats(_of(table, SEATS)[0][1]), Totals(shard, _of(table, DOWN), shards)
+        probs, customers, fresh = probabilities(shard, seats, totals, level0), shard.counts, list(seats)
+        for level in range(shard.depth, 0, -1):
+            room, was = shard.rooms[level - 1], seats[level - 1]
+            others = shard.joined(level, was, totals.room_tables)[room] - was
+            fresh[level - 1] = seat(customers, others, probs[level - 1][shard.parents[level - 1]], _param(DISCOUNT, level),
+                                    _param(CONCENTRATION, level), np.random.default_rng([SEED, sweep, level, index]))
+            customers = shard.lifted(level, fresh[level - 1])
+        return messages([(index, SEATS, sweep, index, shard.dump_seats(fresh)), *_next_up(shard, fresh, totals, sweep, index)])
+
+    return state.groupBy("to").applyInArrow(run, MESSAGE)
+
+
+def price_shards(state: DataFrame, samples: dict[int, tuple[int, int, int, int]], first: tuple[int, int, int, int], shards: int) -> DataFrame:
+    """To every chunk, per document: score, base score and known tokens of its occurrences in a shard."""
+
+    def run(table: pa.Table) -> pa.Table:
+        index = table["to"][0].as_py()
+        shard = Shard.load(_of(table, SHARD)[0][1])
+        known = Totals(shard, _of(table, DOWN, -1), shards).known
+        mean = 0.0
+        for sweep, level0 in samples.items():
+            seats = shard.load_seats(_of(table, SEATS, sweep)[0][1])
+            mean = mean + probabilities(shard, seats, Totals(shard, _of(table, DOWN, sweep), shards), level0)[-1] / len(samples)
+        word = np.arange(len(shard.names))
+        for parent in shard.parents:
+            word = word[parent]
+        logs = np.log10(mean)
+        base = np.log10((known + 1) / float(first[2] + first[3] + 1))[word]
+        is_known = (known > 0)[word]
+        out = []
+        for src, body in _of(table, SEEN):
+            row, doc, times = load(body)
+            row = np.cumsum(row)
+            there, doc = np.unique(doc, return_inverse=True)
+            sums = [np.bincount(doc, weights=times * x[row]) for x in (logs, base, is_known)]
+            out.append((src, SUMS, -1, index, dump(rises(there), sums[0], sums[1], sums[2].astype(np.int64))))
+        return messages(out)
+
+    return state.groupBy("to").applyInArrow(run, MESSAGE)
+
+
+def finish(sums: DataFrame, schema: T.StructType) -> DataFrame:
+    """The documents of every chunk with _score, _base and _known."""
+
+    def run(table: pa.Table) -> pa.Table:
+        docs = pa.ipc.open_stream(_of(table, DOCS)[0][1]).read_all()
+        score, base, known = np.zeros(len(docs)), np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int64)
+        for _, body in _of(table, SUMS):
+            there, *more = load(body)
+            there = np.cumsum(there)
+            for total, x in zip((score, base, known), more, strict=True):
+                total[there] += x
+        for name, values in (("_score", score), ("_base", base), ("_known", known)):
+            docs = docs.append_column(name, pa.array(values))
+        return docs.select(schema.names)
+
+    return sums.groupBy("to").applyInArrow(run, schema)
+
+
+def sampled(pieces: DataFrame, layout: Layout, sweeps: int, samples: int, docs: T.StructType) -> tuple[DataFrame, int]:
+    """The documents behind `pieces` scored by the mean of the last `samples` of `sweeps` sweeps, and the learnt tokens."""
+    shards = layout.shards
+
+    def seated(ups: DataFrame, sweep: int, before: tuple, first: bool = False) -> tuple[DataFrame, tuple]:
+        down = settle(exchange(ups.where(F.col("kind") == UP), sweep, before, first))
+        found = [load(bytes(r.body))[0] for r in down.where(F.col("kind") == TOTAL).select("body").collect()]
+        # sums of one small row per bucket; words and learnt tokens are told by the first exchange only
+        sums = [int(x) for x in np.sum(found, axis=0)] if found else [0] * 4
+        return down.where(F.col("kind") == DOWN), (*sums[:2], *(sums if first else before)[2:])
+
+    built = settle(build_shards(pieces, layout))
+    fixed = built.where(F.col("kind") == SHARD)
+    down, level0 = seated(built, -1, (0, 0, 0, 0), first=True)
+    first, downs, kept, levels = level0, [down], [built.where(F.col("kind") == SEATS)], [level0]
+    for sweep in range(sweeps):
+        fresh = settle(sweep_shards(fixed.union(kept[-1]).union(downs[-1]), sweep, levels[-1], shards))
+        down, level0 = seated(fresh, sweep, levels[-1])
+        kept.append(fresh.where(F.col("kind") == SEATS))
+        downs.append(down)
+        levels.append(level0)
+    chosen = range(sweeps - samples, sweeps)
+    state = built.where(F.col("kind").isin(SHARD, SEEN)).union(downs[0])
+    for sweep in chosen:
+        state = state.union(kept[sweep + 1])
+        if sweep >= 0:
+            state = state.union(downs[sweep + 1])
+    done = built.where(F.col("kind") == DOCS)
+    for turn in range(min(PRICE_TURNS, shards)):
+        own = state.where(F.col("to") % PRICE_TURNS == turn)
+        done = done.union(settle(price_shards(own, {s: levels[s + 1] for s in chosen}, first, shards)))
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs), T.StructField("_n", T.LongType()), T.StructField("_score", T.DoubleType()),
+                           T.StructField("_base", T.DoubleType()), T.StructField("_known", T.LongType())])
+    return finish(done, schema), first[2]
+
+
 class Model:
-    """The seating state of every level; level `order - 1` holds the training counts."""
+    """The model of training rows (_ctx, _w, _k); sweeps are run when probabilities are asked for."""
 
     def __init__(self, train: DataFrame, order: int = ORDER) -> None:
-        self.order = order
-        self.vocabulary = train.select("_w").distinct().count()
-        self.base = 1.0 / (self.vocabulary + 1)
-        deepest = train.groupBy("_ctx", "_w").agg(F.sum("_k").alias("_c"))
-        self.levels: list[DataFrame] = [None] * order  # type: ignore[list-item]
-        self.levels[order - 1] = settle(self._with_id(deepest.withColumn("_t", F.lit(1).cast("long"))))
-        for level in range(order - 2, -1, -1):
-            self.levels[level] = settle(self._lift(self.levels[level + 1], level + 1).withColumn("_t", F.lit(1).cast("long")))
-        # probabilities of the current state, written once and used by the next sweep and by predictive()
-        self._priced: list[DataFrame] | None = None
-
-    @staticmethod
-    def _with_id(df: DataFrame) -> DataFrame:
-        return df.withColumn("_id", F.xxhash64("_ctx", "_w"))
-
-    def _lift(self, child: DataFrame, child_level: int) -> DataFrame:
-        """Customers of the parent level: the tables of its children."""
-        parent = child.groupBy(parent_of(child_level).alias("_ctx"), "_w").agg(F.sum("_t").alias("_c"))
-        return self._with_id(parent)
-
-    @staticmethod
-    def _restaurants(state: DataFrame) -> DataFrame:
-        return state.groupBy("_ctx").agg(F.sum("_c").alias("_cu"), F.sum("_t").alias("_tu"))
-
-    def probabilities(self) -> list[DataFrame]:
-        """Per level (_ctx, _w, _prob) of the rows of the state, and per level (_ctx, _cu, _tu).
-
-        Probabilities are written once per state; restaurant totals are an aggregation of the written
-        state, computed where they are used.
-        """
-        if self._priced is not None:
-            return self._priced
-        probs, rooms = [], []
-        for level in range(self.order):
-            d, theta = _param(DISCOUNT, level), _param(CONCENTRATION, level)
-            state = self.levels[level]
-            room = self._restaurants(state)
-            rows = spread_lookup(state, room, ["_ctx"], "_id")
-            if level == 0:
-                parent = F.lit(self.base)
-            else:
-                rows = spread_lookup(rows.withColumn("_pctx", parent_of(level)), probs[level - 1].withColumnRenamed("_ctx", "_pctx")
-                                     .withColumnRenamed("_prob", "_pp"), ["_pctx", "_w"], "_id")
-                parent = F.col("_pp")
-            prob = (F.col("_c") - d * F.col("_t") + (theta + d * F.col("_tu")) * parent) / (theta + F.col("_cu"))
-            probs.append(settle(rows.select("_ctx", "_w", prob.alias("_prob"))))
-            rooms.append(room)
-        self._priced = probs + rooms
-        return self._priced
+        self.order, self.sweeps = order, 0
+        self.train = train.select("_ctx", "_w", F.col("_k").cast("long").alias("_k"), F.lit(True).alias("_train"))
 
     def sweep(self, number: int) -> None:
-        """One Gibbs sweep: deepest level first, each parent's customers from its children's new tables."""
-        probs_rooms = self.probabilities()
-        probs = probs_rooms[: self.order]
-        for level in range(self.order - 1, -1, -1):
-            state = self.levels[level]
-            if level < self.order - 1:
-                fresh = self._lift(self.levels[level + 1], level + 1)
-                state = fresh.join(state.select("_ctx", "_w", "_t"), ["_ctx", "_w"], "left").fillna(0, ["_t"])
-            room = self._restaurants(state.select("_ctx", "_c", "_t"))
-            rows = spread_lookup(state, room, ["_ctx"], "_id").withColumn("_others", F.col("_tu") - F.col("_t"))
-            if level == 0:
-                rows = rows.withColumn("_p", F.lit(self.base))
-            else:
-                parent = probs[level - 1].select(F.col("_ctx").alias("_pctx"), "_w", F.col("_prob").alias("_p"))
-                rows = spread_lookup(rows.withColumn("_pctx", parent_of(level)), parent, ["_pctx", "_w"], "_id")
-            self.levels[level] = settle(resample(rows, level, number))
-        self._priced = None
+        """One more Gibbs sweep; they are numbered from 0."""
+        if number != self.sweeps:
+            raise ValueError(f"sweep {self.sweeps} is the next")
+        self.sweeps += 1
 
     def predictive(self, keys: DataFrame) -> DataFrame:
-        """(_ctx, _w, _prob) for every key (_ctx, _w, _id) of the deepest level, seen in training or not."""
-        probs_rooms = self.probabilities()
-        probs, rooms = probs_rooms[: self.order], probs_rooms[self.order :]
-        # from the empty context up: the probability of w after the key's context shortened to each level
-        done = keys.withColumn("_prob", F.lit(self.base))
-        for level in range(self.order):
-            d, theta = _param(DISCOUNT, level), _param(CONCENTRATION, level)
-            short = F.lit("") if level == 0 else F.substring_index(F.col("_ctx"), " ", -level)
-            if level == self.order - 1:
-                short = F.col("_ctx")
-            done = done.withColumn("_short", short)
-            seen = probs[level].select(F.col("_ctx").alias("_short"), "_w", F.col("_prob").alias("_seen"))
-            room = rooms[level].select(F.col("_ctx").alias("_short"), "_cu", "_tu")
-            done = spread_lookup(spread_lookup(done, seen, ["_short", "_w"], "_id"), room, ["_short"], "_id")
-            unseen = (theta + d * F.col("_tu")) * F.col("_prob") / (theta + F.col("_cu"))
-            done = done.select(
-                "_ctx", "_w", "_id",
-                F.when(F.col("_seen").isNotNull(), F.col("_seen"))
-                .when(F.col("_cu").isNotNull(), unseen)
-                .otherwise(F.col("_prob")).alias("_prob"),
-            )
-        return done
+        """(_ctx, _w, _id, _prob) for every key (_ctx, _w, _id) of the deepest level, seen in training or not."""
+        asked = keys.select("_ctx", "_w", F.lit(1).cast("long").alias("_k"), F.lit(False).alias("_train"), F.col("_id"))
+        train = self.train.withColumn("_id", F.lit(None).cast(asked.schema["_id"].dataType))
+        total = F.sum("_k").alias("_n")
+        counts = train.unionByName(asked).groupBy(F.element_at(F.split("_ctx", " "), -1).alias("_last")).agg(total)
+        names = F.udf(lambda w: int(hashes([w]).view(np.int64)[0]), "long")
+        counts = counts.groupBy(F.lit(None).cast("long").alias("_word")).agg(F.sum("_n").alias("_n")).unionByName(
+            counts.where(F.col("_n") > SHARD_TOKENS // 2).select(names("_last").alias("_word"), "_n"))
+        layout = layout_of(counts, self.order)
+        pieces = row_pieces(train, layout, 0).union(row_pieces(asked, layout, 1))
+        done, _ = sampled(pieces, layout, self.sweeps, 1, asked.schema)
+        return done.where(~F.col("_train")).select("_ctx", "_w", "_id", F.pow(F.lit(10.0), F.col("_score")).alias("_prob"))
 
 
 def score(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -254,39 +483,19 @@ def score(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str
     - Other columns are left aside whatever their names. An empty table gives no rows; a table without
       learning rows scores with N = V = 0 and the uniform base.
     """
-    occ = settle(occurrences(docs, order, doc_id, text))
-    train = occ.where("_train")
-    unigram = train.groupBy("_w").agg(F.sum("_k").alias("_cw"))
-    total = train.agg(F.sum("_k")).first()[0] or 0
-    model = Model(train, order)
-    keys = settle(occ.select("_ctx", "_w").distinct().withColumn("_id", F.xxhash64("_ctx", "_w")))
-    for number in range(BURN_IN):
-        model.sweep(number)
-    draws = []
-    for number in range(BURN_IN, BURN_IN + SAMPLES):
-        model.sweep(number)
-        draws.append(model.predictive(keys))
-    every = draws[0]
-    for more in draws[1:]:
-        every = every.unionByName(more)
-    mean = every.groupBy("_ctx", "_w").agg(F.avg("_prob").alias("_mean"))
-    denominator = total + model.vocabulary + 1
-    priced = spread_lookup(keys, unigram, ["_w"], "_id").join(mean, ["_ctx", "_w"]).select(
-        "_ctx", "_w", F.log10("_mean").alias("_logp"),
-        F.log10((F.coalesce("_cw", F.lit(0)) + 1) / F.lit(float(denominator))).alias("_base"),
-        (F.coalesce("_cw", F.lit(0)) > 0).alias("_known"),
-    )
-    priced = settle(priced)
-    looked = spread_lookup(occ.withColumn("_salt", F.xxhash64("_key", "_ctx", "_w")), priced, ["_ctx", "_w"], "_salt")
-    per_doc = looked.groupBy("_key", "_doc", "_held", "_n").agg(
-        F.sum(F.col("_k") * F.col("_logp")).alias("score"),
-        F.sum(F.col("_k") * F.col("_base")).alias("base_score"),
-        F.sum(F.when(F.col("_known"), F.col("_k")).otherwise(0)).alias("n_known"),
+    rest = F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(HELD_OUT_MOD))
+    chosen = docs.select(
+        F.col(doc_id).alias("_doc"), F.col(text).alias("_text"),
+        F.coalesce(rest == HELD_OUT_REST, F.lit(False)).alias("_held"),
+        F.coalesce(rest != HELD_OUT_REST, F.lit(False)).alias("_train"),
     )
-    return per_doc.select(
-        F.col("_doc").alias(doc_id), F.col("_held").alias("held_out"), F.col("_n").cast("long").alias("n_tokens"),
-        F.col("n_known").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        "base_score", "score",
+    layout = layout_of(heavy_words(chosen, "_text"), order)
+    fields = T.StructType([chosen.schema[c] for c in ("_doc", "_held", "_train")])
+    done, total = sampled(text_pieces(chosen, "_text", layout), layout, BURN_IN + SAMPLES, SAMPLES, fields)
+    return done.select(
+        F.col("_doc").alias(doc_id), F.col("_held").alias("held_out"), F.col("_n").alias("n_tokens"),
+        F.col("_known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        F.col("_base").alias("base_score"), F.col("_score").alias("score"),
     )
 
 
