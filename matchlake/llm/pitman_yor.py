@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +49,7 @@ BURN_IN, SAMPLES = 2, 2
 SEED = 20_241_202
 HELD_OUT_MOD, HELD_OUT_REST = 7, 2
 # tokens that a shard should hold, and tokens that a task deals out at a time
-SHARD_TOKENS, DEAL_TOKENS = 2_000_000, 5_000_000
+SHARD_TOKENS, DEAL_TOKENS = 1_700_000, 5_000_000
 # the shards are priced in so many turns, so that only one turn's shuffle is on disk
 PRICE_TURNS = 4
 # a task reports the words that are at least this share of its tokens
@@ -215,15 +216,17 @@ def row_pieces(rows: DataFrame, layout: Layout, source: int) -> DataFrame:
 
 def _of(table: pa.Table, kind: int, sweep: int | None = None) -> list[tuple[int, bytes]]:
     """(src, body) of one kind, sorted by src."""
-    found = zip(*(table[c].to_pylist() for c in ("kind", "sweep", "src", "body")), strict=True)
-    return sorted((s, b) for k, n, s, b in found if k == kind and sweep in (None, n))
+    wanted = pc.equal(table["kind"], kind)
+    if sweep is not None:
+        wanted = pc.and_(wanted, pc.equal(table["sweep"], sweep))
+    table = table.filter(wanted)
+    return sorted(zip(table["src"].to_pylist(), table["body"].to_pylist(), strict=True))
 
 
-def _sliced(keys: np.ndarray, buckets: int) -> list[np.ndarray]:
+def _sliced(bucket: np.ndarray, buckets: int) -> list[np.ndarray]:
     """Places of the keys of each bucket, in the order of the keys."""
-    bucket = keys % np.uint64(buckets)
     by = np.argsort(bucket, kind="stable")
-    return np.split(by, np.searchsorted(bucket[by], np.arange(1, buckets, dtype=np.uint64)))
+    return np.split(by, np.searchsorted(bucket[by], np.arange(1, buckets)))
 
 
 def _flat(arrays: list[np.ndarray], dtype: type) -> np.ndarray:
@@ -241,9 +244,9 @@ class Totals:
     """What the buckets answered to a shard: per word customers, tables and learnt count of level 0, per shared room totals."""
 
     def __init__(self, shard: Shard, down: list[tuple[int, bytes]], shards: int) -> None:
-        rooms = _flat(shard.shared_names, np.uint64)
-        self.word_at, self.room_at = _sliced(shard.names, shards), _sliced(rooms, shards)
-        words = np.zeros((4, len(shard.names)), dtype=np.int64)
+        rooms = _flat(shard.shared_buckets, np.int64)
+        self.word_at, self.room_at = _sliced(shard.buckets, shards), _sliced(rooms, shards)
+        words = np.zeros((4, len(shard.buckets)), dtype=np.int64)
         shared = np.zeros((3, len(rooms)), dtype=np.int64)
         for bucket, body in down:
             answer = load(body)
@@ -255,12 +258,13 @@ class Totals:
         self.room_customers, self.room_tables = np.split(shared[1], cuts), np.split(shared[2], cuts)
 
 
-def _first_up(shard: Shard, seats: list[np.ndarray], index: int, shards: int) -> list[tuple]:
-    rooms, sums = _flat(shard.shared_names, np.uint64), shard.sums(seats)
+def _first_up(shard: Shard, hashed: tuple, seats: list[np.ndarray], index: int, shards: int) -> list[tuple]:
+    (names, rooms, known), sums = hashed, shard.sums(seats)
     customers, seated = _room_sums(shard, seats)
     return [
-        (b, UP, -1, index, dump(rises(shard.names[w]), sums[w], shard.known[w], rooms[r], customers[r], seated[r]))
-        for b, (w, r) in enumerate(zip(_sliced(shard.names, shards), _sliced(rooms, shards), strict=True)) if len(w) or len(r)
+        (b, UP, -1, index, dump(rises(names[w]), sums[w], known[w], rooms[r], customers[r], seated[r]))
+        for b, (w, r) in enumerate(zip(_sliced(shard.buckets, shards), _sliced(_flat(shard.shared_buckets, np.int64), shards), strict=True))
+        if len(w) or len(r)
     ]
 
 
@@ -281,11 +285,11 @@ def build_shards(pieces: DataFrame, layout: Layout) -> DataFrame:
         out = [(src, DOCS, -1, src, body) for src, body in _of(table, DOCS)]
         if found := _of(table, PIECE):
             del table
-            shard, seen = Shard.build([b for _, b in found], layout)
+            shard, seen, hashed = Shard.build([b for _, b in found], layout)
             out += [(index, SEEN, -1, src, body) for (src, _), body in zip(found, seen, strict=True)]
             seats = shard.start()
             out += [(index, SHARD, -1, index, shard.dump()), (index, SEATS, -1, index, shard.dump_seats(seats))]
-            out += _first_up(shard, seats, index, layout.shards)
+            out += _first_up(shard, hashed, seats, index, layout.shards)
         return messages(out)
 
     return pieces.groupBy("to").applyInArrow(run, MESSAGE)
@@ -369,7 +373,7 @@ def price_shards(state: DataFrame, samples: dict[int, tuple[int, int, int, int]]
         for sweep, level0 in samples.items():
             seats = shard.load_seats(_of(table, SEATS, sweep)[0][1])
             mean = mean + probabilities(shard, seats, Totals(shard, _of(table, DOWN, sweep), shards), level0)[-1] / len(samples)
-        word = np.arange(len(shard.names))
+        word = np.arange(len(shard.buckets))
         for parent in shard.parents:
             word = word[parent]
         logs = np.log10(mean)

@@ -111,6 +111,11 @@ class Layout:
         return ((places + spread) % np.uint64(self.shards)).astype(np.uint16 if self.shards < 2**16 else np.int64)
 
 
+def sorted_pairs(n: int, order: int) -> bool:
+    """Whether a piece of n words holds the last two context words as one sorted number."""
+    return order > 2 and n**order < 2**63
+
+
 def deal(names: np.ndarray, ctx: list[np.ndarray], word: np.ndarray, doc: np.ndarray, times: np.ndarray, learn: np.ndarray, layout: Layout):  # noqa: ANN201
     """(shard, bytes) of the occurrences: each context word from the last one back, word, document and count."""
     columns = [*ctx, word]
@@ -132,8 +137,13 @@ def deal(names: np.ndarray, ctx: list[np.ndarray], word: np.ndarray, doc: np.nda
             if n**k < 2**63:
                 key = key * n + c
         to = np.argsort(key, kind="stable")
-        yield int(s), dump(rises(names[used]), rises(own[0][to]) if len(own) == 1 or n ** len(own) < 2**63 else own[0][to],
-                           *[c[to] for c in own[1:]], doc[at][to], times[at][to], learn)
+        if sorted_pairs(n, len(own)):
+            own[:2] = [own[0] * n + own[1]]
+            own[0] = rises(own[0][to])
+            own[1:] = [c[to] for c in own[1:]]
+        else:
+            own = [c[to] for c in own]
+        yield int(s), dump(rises(names[used]), *own, doc[at][to], times[at][to], learn)
 
 
 def _dense(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,15 +153,17 @@ def _dense(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 class Shard:
     """The restaurants of one shard. Level k has rows (context of k words, word), sorted by room; level 0's rows are
-    the words (`names`), whose customers are counted over all shards, as are the rooms that other shards share."""
+    the words, whose customers are counted over all shards, as are the rooms that other shards share: in `buckets`
+    and `shared_buckets`, which the hash of a name decides. The hashes themselves are sent there once and not kept."""
 
-    def __init__(self, names: np.ndarray, counts: np.ndarray, known: np.ndarray, rooms: list, parents: list, shared: list, shared_names: list) -> None:
-        self.names, self.counts, self.known = names, counts, known
-        self.rooms, self.parents, self.shared, self.shared_names = rooms, parents, shared, shared_names
+    def __init__(self, buckets: np.ndarray, counts: np.ndarray, rooms: list, parents: list, shared: list, shared_buckets: list) -> None:
+        self.buckets, self.counts = buckets, counts
+        self.rooms, self.parents, self.shared, self.shared_buckets = rooms, parents, shared, shared_buckets
 
     @classmethod
-    def build(cls, pieces: list[bytes], layout: Layout) -> tuple[Shard, list[bytes]]:
-        """The shard, and for each piece its occurrences: deepest row, document, count."""
+    def build(cls, pieces: list[bytes], layout: Layout) -> tuple[Shard, list[bytes], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The shard; for each piece its occurrences: deepest row, document, count; the hashes of words and
+        shared rooms, and the words' learnt counts."""
         order = layout.order
         names = [np.cumsum(load(p, 1)[0], dtype=np.uint64) for p in pieces]
         vocabulary = np.unique(np.concatenate(names))
@@ -161,8 +173,8 @@ class Shard:
             x = load(piece)
             # numbers of words, documents and rows of a shard fit 31 bits; only products of them do not
             to = np.searchsorted(vocabulary, own).astype(np.int32)
-            if order == 1 or len(own) ** order < 2**63:
-                x[1] = np.cumsum(x[1])
+            if sorted_pairs(len(own), order):
+                x[1:2] = np.divmod(np.cumsum(x[1]), len(own))
             for c in range(order):
                 columns[c].append(to[x[1 + c]])
             doc, times, learn = x[1 + order :]
@@ -208,16 +220,19 @@ class Shard:
         for (doc, times), own in zip(loaded, np.split(row, np.cumsum(sizes)[:-1]), strict=True):
             to = np.argsort(own, kind="stable")
             seen.append(dump(rises(own[to]), doc[to], load(times)[0][to]))
-        return cls(names, counts, known, rooms, parents, shared, shared_names), seen
+        shards = np.uint64(layout.shards)
+        buckets, shared_buckets = (names % shards).astype(np.int64), [(h % shards).astype(np.int64) for h in shared_names]
+        hashed = names, np.concatenate([np.zeros(0, dtype=np.uint64), *shared_names]), known
+        return cls(buckets, counts, rooms, parents, shared, shared_buckets), seen, hashed
 
     def dump(self) -> bytes:
-        levels = [x for k in range(len(self.rooms)) for x in (rises(self.rooms[k]), self.parents[k], self.shared[k], self.shared_names[k])]
-        return dump(rises(self.names), self.counts, self.known, *levels)
+        levels = [x for k in range(len(self.rooms)) for x in (rises(self.rooms[k]), self.parents[k], self.shared[k], self.shared_buckets[k])]
+        return dump(self.buckets, self.counts, *levels)
 
     @classmethod
     def load(cls, body: bytes) -> Shard:
-        names, counts, known, *levels = load(body)
-        return cls(np.cumsum(names, dtype=np.uint64), counts, known, [np.cumsum(r) for r in levels[::4]], levels[1::4], levels[2::4], levels[3::4])
+        buckets, counts, *levels = load(body)
+        return cls(buckets, counts, [np.cumsum(r) for r in levels[::4]], levels[1::4], levels[2::4], levels[3::4])
 
     @property
     def depth(self) -> int:
@@ -233,7 +248,7 @@ class Shard:
 
     def lifted(self, level: int, seats: np.ndarray) -> np.ndarray:
         """Customers of the rows of level - 1: the tables of their children."""
-        n = len(self.names) if level == 1 else len(self.rooms[level - 2])
+        n = len(self.buckets) if level == 1 else len(self.rooms[level - 2])
         return np.bincount(self.parents[level - 1], weights=seats, minlength=n).astype(np.int64)
 
     def customers(self, seats: list[np.ndarray]) -> list[np.ndarray]:
